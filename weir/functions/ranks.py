@@ -1,83 +1,65 @@
-"""Exact nearest-rank percentiles that never hold a group in one task."""
+"""Exact nearest-rank percentiles that never order a whole group in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.scratch import checkpointed
 
+ACCURACY = 10_000
+BROADCAST_ROWS = 100_000
+
 
 def nearest_rank(
     df: DataFrame,
     value: str,
     percentiles: Sequence[int],
     by: Sequence[str] = (),
-    slices: int = 256,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Value at position ``ceil(p / 100 * n)`` of each group, NULLs left out.
 
-    Equal values collapse to one counted row first, so ties cost nothing.
-    Approximate cut points split every group into about ``slices`` parts; the
-    parts' exact counts say which part holds each wanted rank, and only those
-    parts are ordered. The cut points steer the load, never the result, and
-    are checkpointed so that every use of them agrees.
+    Approximate quantiles just below and above each wanted one cut a group
+    into slices. Counting all slices exactly tells which slice holds each rank
+    and which position in it; only those thin slices, about ``4 / accuracy`` of
+    the rows, are collapsed to distinct values and ordered. The cut points are
+    fixed before use and only steer how thin the slices are, never the result.
 
-    Returns ``by`` columns, ``percentile``, ``value`` and ``n``.
+    Returns the ``by`` columns, ``percentile``, ``value`` and ``n``.
     """
-    by = list(by)
-    if slices < 2:
-        raise ValueError("slices must be at least 2")
-    group = by or ["_all"]
-    source = df if by else df.withColumn("_all", F.lit(1))
-
-    counted = (
-        source.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    fractions = [i / slices for i in range(1, slices)]
-    cuts = checkpointed(
-        counted.groupBy(*group).agg(
-            F.percentile_approx("_v", fractions, 10 * slices).alias("_cuts")
-        )
-    )
-    sliced = _match(counted, cuts, group).select(
-        *group,
-        "_v",
-        "_c",
-        F.size(F.filter("_cuts", lambda cut: cut < F.col("_v"))).alias("_slice"),
-    )
+    by, wished = list(by), sorted(set(percentiles))
+    if not wished or wished[0] < 0 or wished[-1] > 100:
+        raise ValueError("percentiles lie between 0 and 100")
+    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
+    sliced = _sliced(rows, _around(wished, 2 / accuracy), by, accuracy)
 
-    # One short row per group and slice: at most `slices` of them per group.
-    in_order = Window.partitionBy(*group).orderBy("_slice")
-    sizes = (
-        sliced.groupBy(*group, "_slice")
-        .agg(F.sum("_c").alias("_rows"))
-        .withColumn("_upto", F.sum("_rows").over(in_order))
-        .withColumn("n", F.sum("_rows").over(Window.partitionBy(*group)))
-    )
-    wanted = (
-        sizes.withColumn("percentile", F.explode(F.array(*map(F.lit, percentiles))))
+    # A group has at most two slices per percentile and one more.
+    in_order = Window.partitionBy(*by).orderBy("_slice")
+    wanted = _fixed(
+        sliced.groupBy(*by, "_slice")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_before", F.sum("_rows").over(in_order) - F.col("_rows"))
+        .withColumn("n", F.sum("_rows").over(Window.partitionBy(*by)))
+        .withColumn("percentile", F.explode(F.array(*map(F.lit, wished))))
         .withColumn("_rank", F.greatest(F.lit(1), F.ceil(F.col("percentile") * F.col("n") / 100)))
-        .filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_rows")))
-        .groupBy(*group, "_slice")
-        .agg(
-            F.collect_list(
-                F.struct("percentile", "n", (F.col("_rank") - F.col("_upto") + F.col("_rows")).alias("rank"))
-            ).alias("_targets")
-        )
+        .withColumn("_rank", F.col("_rank") - F.col("_before"))
+        .filter((F.col("_rank") >= 1) & (F.col("_rank") <= F.col("_rows")))
+        .groupBy(*by, "_slice")
+        .agg(F.collect_list(F.struct("percentile", "n", "_rank")).alias("_targets"))
     )
-    in_slice = Window.partitionBy(*group, "_slice").orderBy("_v")
+    keys = [*by, "_slice"]
+    inside = _match(sliced, wanted.drop("_targets"), keys).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    in_slice = Window.partitionBy(*keys).orderBy("_v")
     hits = (
-        _match(sliced, wanted, [*group, "_slice"])
-        .withColumn("_seen", F.sum("_c").over(in_slice))
+        _match(inside.withColumn("_seen", F.sum("_c").over(in_slice)), wanted, keys)
         .withColumn("_target", F.explode("_targets"))
         .filter(
-            (F.col("_target.rank") <= F.col("_seen"))
-            & (F.col("_target.rank") > F.col("_seen") - F.col("_c"))
+            (F.col("_target._rank") <= F.col("_seen"))
+            & (F.col("_target._rank") > F.col("_seen") - F.col("_c"))
         )
     )
     return hits.select(
@@ -88,9 +70,32 @@ def nearest_rank(
     )
 
 
+def _around(percentiles: Sequence[int], margin: float) -> list[float]:
+    points = {min(max(p / 100 + side * margin, 0.0), 1.0) for p in percentiles for side in (-1, 1)}
+    return sorted(points)
+
+
+def _sliced(rows: DataFrame, fractions: list[float], by: list[str], accuracy: int) -> DataFrame:
+    """Number the slice of every row: how many cut points lie below its value."""
+    sketch = F.percentile_approx("_v", fractions, accuracy).alias("_cuts")
+    if by:
+        cut = _match(rows, _fixed(rows.groupBy(*by).agg(sketch)), by)
+        points: list[Column] = [F.col("_cuts")[i] for i in range(len(fractions))]
+    else:
+        cut = rows
+        points = [F.lit(point) for point in rows.agg(sketch).first()["_cuts"] or []]
+    below = [F.when(F.col("_v") > point, 1).otherwise(0) for point in points]
+    return cut.select(*by, "_v", reduce(lambda a, b: a + b, below, F.lit(0)).alias("_slice"))
+
+
+def _fixed(df: DataFrame) -> DataFrame:
+    """Checkpoint a small result; hint a broadcast once its row count proves it small."""
+    done = checkpointed(df)
+    return F.broadcast(done) if done.count() <= BROADCAST_ROWS else done
+
+
 def _match(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join in which NULL group keys meet each other."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
     same = [left[c].eqNullSafe(renamed[f"_r_{c}"]) for c in on]
-    joined = left.join(renamed, same, "inner")
-    return joined.drop(*[f"_r_{c}" for c in on])
+    return left.join(renamed, same, "inner").drop(*[f"_r_{c}" for c in on])

@@ -83,8 +83,7 @@ def violation_report(df: DataFrame, checks: Sequence[Check], fail_fast: bool = F
 
 
 def _first_offenders(df: DataFrame, checks: Sequence[Check]) -> list[dict[str, Any]]:
-    broken = reduce(lambda a, b: a | b, [F.coalesce(c.violated, F.lit(False)) for c in checks])
-    return [row.asDict() for row in df.filter(broken).take(SAMPLE_SIZE)]
+    return [row.asDict() for row in df.filter(any_violated(checks)).take(SAMPLE_SIZE)]
 
 
 def validate_nulls(df: DataFrame, columns: Sequence[str], fail_fast: bool = False) -> DataFrame:
@@ -116,7 +115,8 @@ def orphans(
     others = [referenced_key] if isinstance(referenced_key, str) else list(referenced_key)
     if len(keys) != len(others):
         raise ValueError("foreign and referenced key need the same number of columns")
-    used = df.select(*keys).dropna(how="any").groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    present = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+    used = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
     known = referenced.select(
         *[F.col(other).alias(key) for key, other in zip(keys, others)]
     ).distinct()
@@ -152,17 +152,24 @@ def with_violations(df: DataFrame, checks: Sequence[Check], column: str = "viola
     """Add the array of broken rules to every row. Narrow, so it works on streams."""
     if not checks:
         raise ValueError("give at least one check")
-    marks = [F.when(check.violated, F.lit(check.rule)) for check in checks]
-    return df.withColumn(column, F.array_compact(F.array(*marks)))
+    none = F.array().cast("array<string>")
+    # Joined arrays stay in generated code; filtering NULLs out of one would not.
+    broken = [F.when(check.violated, F.array(F.lit(check.rule))).otherwise(none) for check in checks]
+    return df.withColumn(column, F.concat(*broken))
+
+
+def any_violated(checks: Sequence[Check]) -> Column:
+    """TRUE on rows that break a check; FALSE or NULL on the others."""
+    return reduce(lambda a, b: a | b, [check.violated for check in checks])
 
 
 def quarantine(
     df: DataFrame, checks: Sequence[Check], column: str = "violations"
 ) -> tuple[DataFrame, DataFrame]:
     """Split into rows that pass and rows that fail, the latter with reasons."""
-    marked = with_violations(df, checks, column)
-    clean = marked.filter(F.size(column) == 0).drop(column)
-    return clean, marked.filter(F.size(column) > 0)
+    broken = any_violated(checks)
+    clean = df.filter(~F.coalesce(broken, F.lit(False)))
+    return clean, with_violations(df.filter(broken), checks, column)
 
 
 def drop_invalid(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -178,8 +185,8 @@ def violation_samples(
     The rank filter is applied in every task before the shuffle, so a rule
     that a third of the table breaks still moves ``limit`` rows per task.
     """
-    broken = with_violations(df, checks, "_broken").withColumn("rule", F.explode("_broken"))
-    ranked = broken.withColumn(
+    _, failed = quarantine(df, checks, "_broken")
+    ranked = failed.withColumn("rule", F.explode("_broken")).withColumn(
         "sample", F.row_number().over(Window.partitionBy("rule").orderBy(*key))
     )
     return ranked.filter(F.col("sample") <= limit).drop("_broken")
