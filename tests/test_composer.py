@@ -55,6 +55,21 @@ def test_extract_transform_validate_load(spark, users, tmp_path):
     assert run.frames["users"].count() == 4
 
 
+def test_table_folders_and_empty_loads(spark, users, tmp_path):
+    out = str(tmp_path / "table")
+    load = step("load", "toDeltaLake", path=out, tableFormat="parquet", partitionBy=["status"])
+    empty = step("transform", "filterRows", condition="age > 1000")
+    grouped = step("transform", "aggregateData", groupBy=["status"], aggregations={"age": "max"})
+    again = step("extract", "fromDeltaLake", path=out, tableFormat="parquet")
+    first = step("extract", "fromS3", **s3(users))
+    run = run_steps(spark, spec(first, load, again, grouped))
+    assert rows(run.current()) == [("active", 34), ("gone", 51)]
+    run = run_steps(spark, spec(first, empty, load, grouped, load))
+    assert [m["records"] for m in run.metrics if m["type"] == "load"] == [0, 0]
+    skipped = step("load", "toS3", **s3(out, mode="ignore"))
+    assert run_steps(spark, spec(first, skipped)).metrics[-1]["records"] is None
+
+
 def test_neighbouring_checks_fail_together(spark, users):
     with pytest.raises(ValidationFailed) as error:
         run_steps(

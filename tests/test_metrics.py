@@ -40,15 +40,15 @@ def by_rank(values, p):
     return ordered[max(math.ceil(p * len(ordered) / 100), 1) - 1]
 
 
-@pytest.mark.parametrize("accuracy", [4, 50, 10_000])
-def test_nearest_rank_matches_sorting(spark, accuracy):
+@pytest.mark.parametrize("accuracy, leaf_rows", [(4, 10_000), (50, 10_000), (10_000, 10_000), (50, 40)])
+def test_nearest_rank_matches_sorting(spark, accuracy, leaf_rows):
     random.seed(5)
     data = [("hot", float(random.choice([1, 1, 1, random.random() * 100]))) for _ in range(3000)]
     data += [("cold", random.gauss(0, 1)) for _ in range(200)]
     data += [(None, 4.0), (None, 2.0), ("single", 7.0), ("nulls", None)]
     df = spark.createDataFrame(data, "k string, v double")
     wished = [0, 1, 50, 95, 99, 100]
-    got = {(r.k, r.percentile): (r.value, r.n) for r in nearest_rank(df, "v", wished, ["k"], accuracy).collect()}
+    got = {(r.k, r.percentile): (r.value, r.n) for r in nearest_rank(df, "v", wished, ["k"], accuracy, leaf_rows).collect()}
     want = {}
     for key in ("hot", "cold", None, "single"):
         values = [v for k, v in data if k == key]

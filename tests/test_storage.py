@@ -25,6 +25,7 @@ from weir.sinks import (
     save_mode,
     write_files,
     write_parquet_with_avro_schema,
+    write_table,
 )
 from weir.sinks.files import delta_write_options
 from weir.sources import (
@@ -34,6 +35,7 @@ from weir.sources import (
     kafka_read_options,
     object_uri,
     read_files,
+    read_table,
     synthetic_rows,
 )
 from weir.sources.files import avro_read_options, delta_read_options, read_options
@@ -260,3 +262,13 @@ def test_synthetic_rows(spark):
     assert df.select("category").distinct().count() == 1000
     assert df.filter("value1 < 0 or value1 >= 1000 or value2 >= 100").count() == 0
     assert df.select("value1").limit(5).collect() == df.select("value1").limit(5).collect()
+
+
+def test_parquet_table_merges_schemas_on_read(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(2), path, table_format="parquet", merge_schema="true")
+    write_table(spark.range(2, 3).selectExpr("id", "'n' as note"), path, table_format="parquet")
+    merged = read_table(spark, path, table_format="parquet", merge_schema=True)
+    assert rows(merged) == [(0, None), (1, None), (2, "n")]
+    with pytest.raises(ValueError, match="as of"):
+        read_table(spark, path, version=1, table_format="parquet")

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from weir.scratch import checkpointed
 
 ACCURACY = 10_000
+LEAF_ROWS = 4_000_000
 BROADCAST_ROWS = 100_000
+EVEN_CUTS = [i / 32 for i in range(1, 32)]
+MAX_ROUNDS = 10
 
 
 def nearest_rank(
@@ -20,53 +23,50 @@ def nearest_rank(
     percentiles: Sequence[int],
     by: Sequence[str] = (),
     accuracy: int = ACCURACY,
+    leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
     """Value at position ``ceil(p / 100 * n)`` of each group, NULLs left out.
 
     Approximate quantiles just below and above each wanted one cut a group
     into slices. Counting all slices exactly tells which slice holds each rank
     and which position in it; only those thin slices, about ``4 / accuracy`` of
-    the rows, are collapsed to distinct values and ordered. The cut points are
-    fixed before use and only steer how thin the slices are, never the result.
+    the rows, are collapsed to distinct values and ordered. A slice of more
+    than ``leaf_rows`` values is cut again first. The cut points are fixed
+    before use and only steer how thin the slices are, never the result.
 
     Returns the ``by`` columns, ``percentile``, ``value`` and ``n``.
     """
-    by, wished = list(by), sorted(set(percentiles))
+    wished, keys = sorted(set(percentiles)), list(by)
     if not wished or wished[0] < 0 or wished[-1] > 100:
         raise ValueError("percentiles lie between 0 and 100")
-    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).alias("_v"))
-    sliced = _sliced(rows, _around(wished, 2 / accuracy), by, accuracy)
-
-    # A group has at most two slices per percentile and one more.
-    in_order = Window.partitionBy(*by).orderBy("_slice")
-    wanted = _fixed(
-        sliced.groupBy(*by, "_slice")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_before", F.sum("_rows").over(in_order) - F.col("_rows"))
-        .withColumn("n", F.sum("_rows").over(Window.partitionBy(*by)))
-        .withColumn("percentile", F.explode(F.array(*map(F.lit, wished))))
-        .withColumn("_rank", F.greatest(F.lit(1), F.ceil(F.col("percentile") * F.col("n") / 100)))
-        .withColumn("_rank", F.col("_rank") - F.col("_before"))
-        .filter((F.col("_rank") >= 1) & (F.col("_rank") <= F.col("_rows")))
-        .groupBy(*by, "_slice")
-        .agg(F.collect_list(F.struct("percentile", "n", "_rank")).alias("_targets"))
+    rows = df.filter(F.col(value).isNotNull()).select(
+        *keys, F.col(value).alias("_v"), F.lit(1).cast("bigint").alias("_c")
     )
-    keys = [*by, "_slice"]
-    inside = _match(sliced, wanted.drop("_targets"), keys).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    in_slice = Window.partitionBy(*keys).orderBy("_v")
-    hits = (
-        _match(inside.withColumn("_seen", F.sum("_c").over(in_slice)), wanted, keys)
-        .withColumn("_target", F.explode("_targets"))
-        .filter(
-            (F.col("_target._rank") <= F.col("_seen"))
-            & (F.col("_target._rank") > F.col("_seen") - F.col("_c"))
-        )
-    )
-    return hits.select(
+    sliced = _sliced(rows, "_s0", keys, _around(wished, 2 / accuracy), accuracy)
+    targets = _fixed(_targets(sliced, "_s0", keys, wished))
+    keys = [*keys, "_s0"]
+    inside = _match(sliced, targets.select(*keys), keys)
+    pool = inside.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
+
+    largest = targets.agg(F.max("_rows")).first()[0] or 0
+    for depth in range(1, MAX_ROUNDS):
+        if largest <= leaf_rows:
+            break
+        pool, part = checkpointed(pool), f"_s{depth}"
+        sliced = _sliced(pool, part, keys, EVEN_CUTS, accuracy)
+        targets = _fixed(_targets(sliced, part, keys, targets))
+        keys = [*keys, part]
+        pool = _match(sliced, targets.select(*keys), keys)
+        largest = pool.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+
+    seen = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_v"))
+    hits = _match(pool.withColumn("_seen", seen), targets, keys).withColumn("_t", F.explode("_targets"))
+    found = hits.filter((F.col("_t.rank") <= F.col("_seen")) & (F.col("_t.rank") > F.col("_seen") - F.col("_c")))
+    return found.select(
         *by,
-        F.col("_target.percentile").alias("percentile"),
+        F.col("_t.percentile").alias("percentile"),
         F.col("_v").alias("value"),
-        F.col("_target.n").alias("n"),
+        F.col("_t.n").alias("n"),
     )
 
 
@@ -75,17 +75,56 @@ def _around(percentiles: Sequence[int], margin: float) -> list[float]:
     return sorted(points)
 
 
-def _sliced(rows: DataFrame, fractions: list[float], by: list[str], accuracy: int) -> DataFrame:
+def _sliced(rows: DataFrame, part: str, keys: list[str], fractions: list[float], accuracy: int) -> DataFrame:
     """Number the slice of every row: how many cut points lie below its value."""
     sketch = F.percentile_approx("_v", fractions, accuracy).alias("_cuts")
-    if by:
-        cut = _match(rows, _fixed(rows.groupBy(*by).agg(sketch)), by)
+    if keys:
+        cut = _match(rows, _fixed(rows.groupBy(*keys).agg(sketch)), keys)
         points: list[Column] = [F.col("_cuts")[i] for i in range(len(fractions))]
     else:
         cut = rows
         points = [F.lit(point) for point in rows.agg(sketch).first()["_cuts"] or []]
     below = [F.when(F.col("_v") > point, 1).otherwise(0) for point in points]
-    return cut.select(*by, "_v", reduce(lambda a, b: a + b, below, F.lit(0)).alias("_slice"))
+    return cut.select(*keys, "_v", "_c", reduce(lambda a, b: a + b, below, F.lit(0)).alias(part))
+
+
+def _targets(
+    sliced: DataFrame, part: str, keys: list[str], asked: Sequence[int] | DataFrame
+) -> DataFrame:
+    """Slices that hold a wanted rank, with the ranks counted from their start.
+
+    The windows run over the counted slices of a group: one row per slice.
+    """
+    upto = F.sum("_rows").over(Window.partitionBy(*keys).orderBy(part))
+    sizes = (
+        sliced.groupBy(*keys, part)
+        .agg(F.sum("_c").alias("_rows"))
+        .withColumn("_before", upto - F.col("_rows"))
+    )
+    if isinstance(asked, DataFrame):
+        ranks = _match(sizes, asked.select(*keys, "_targets"), keys)
+    else:
+        counted = sizes.withColumn("n", F.sum("_rows").over(Window.partitionBy(*keys)))
+        first = [
+            F.struct(
+                F.lit(p).alias("percentile"),
+                F.col("n"),
+                F.greatest(F.lit(1), F.ceil(p * F.col("n") / 100)).cast("bigint").alias("rank"),
+            )
+            for p in asked
+        ]
+        ranks = counted.withColumn("_targets", F.array(*first))
+    placed = ranks.withColumn("_t", F.explode("_targets")).withColumn(
+        "_rank", F.col("_t.rank") - F.col("_before")
+    )
+    return (
+        placed.filter((F.col("_rank") >= 1) & (F.col("_rank") <= F.col("_rows")))
+        .groupBy(*keys, part)
+        .agg(
+            F.max("_rows").alias("_rows"),
+            F.collect_list(F.struct("_t.percentile", "_t.n", F.col("_rank").alias("rank"))).alias("_targets"),
+        )
+    )
 
 
 def _fixed(df: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ outer joins it cannot split.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -45,8 +46,14 @@ def join_type(how: str) -> str:
 
 
 def planned_bytes(df: DataFrame) -> int:
-    """Upper estimate of the frame's size, as the optimizer sees it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Upper estimate of the frame's size, as the optimizer sees it.
+
+    Where the session offers no statistics the frame counts as too large.
+    """
+    plan = getattr(df, "_jdf", None)
+    if plan is None:
+        return sys.maxsize
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:

@@ -30,6 +30,7 @@ JDBC_DATABASE = {
     "toPostgres": "postgres",
     "toMySQL": "mysql",
 }
+FILE_SINKS = ("toS3", "toDeltaLake", "toAvro")
 ROW_CHECKS = ("validateNulls", "validateRanges", "validateBusinessRules")
 
 
@@ -193,7 +194,13 @@ def _extract(run: Run, steps: list[dict[str, Any]]) -> None:
             run.spark, uri, config.get("format", "parquet"), config.get("schema"), **options, **given
         )
     elif method == "fromDeltaLake":
-        df = sources.read_delta(run.spark, config["path"], config.get("version"), config.get("timestamp"))
+        df = sources.read_table(
+            run.spark,
+            config["path"],
+            config.get("version"),
+            config.get("timestamp"),
+            config.get("tableFormat", "delta"),
+        )
     elif method == "fromAvro":
         df = sources.read_avro(run.spark, config["path"], config.get("avroSchema"), config.get("inferSchema"))
     else:
@@ -248,7 +255,13 @@ def _join(run: Run, config: Mapping[str, Any]) -> DataFrame:
         )
     if key is None:
         raise ValueError("a join needs joinConditions, joinColumn or joinKey")
-    return operators.join_using([run.frame(name) for name in names], key, how, broadcast=bool(small))
+    return operators.join_using(
+        [run.frame(name) for name in names],
+        key,
+        how,
+        hot_keys=bool(config.get("hotKeys", False)),
+        broadcast=bool(small),
+    )
 
 
 def _reshape(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
@@ -310,8 +323,8 @@ def _load(run: Run, steps: list[dict[str, Any]]) -> int | None:
         run.queries[name] = query
         return None
     mode = config.get("mode", "append")
-    # A skipped write never reports its count, so "ignore" goes unobserved.
-    counted = sinks.save_mode(mode) != "ignore"
+    # Only a write that surely runs reports its count: not one that "ignore" may skip.
+    counted = sinks.save_mode(mode) != "ignore" and method in FILE_SINKS
     observation = None
     if counted:
         df, observation = metrics.observe(df, f"{run.name}-{steps[0]['index']}-{uuid.uuid4().hex[:8]}")
@@ -326,8 +339,14 @@ def _load(run: Run, steps: list[dict[str, Any]]) -> int | None:
         file_format = config.get("format", "parquet")
         sinks.write_files(df, uri, file_format, mode, partition_by, config.get("compression"), **options)
     elif method == "toDeltaLake":
-        sinks.write_delta(
-            df, config["path"], mode, partition_by, config.get("mergeSchema"), config.get("overwriteSchema")
+        sinks.write_table(
+            df,
+            config["path"],
+            mode,
+            partition_by,
+            config.get("mergeSchema"),
+            config.get("overwriteSchema"),
+            config.get("tableFormat", "delta"),
         )
     elif method == "toAvro":
         sinks.write_avro(
@@ -350,10 +369,10 @@ def _start_stream(run: Run, method: str, config: Mapping[str, Any], df: DataFram
             df, config["topic"], properties=_secrets(run, config), **common
         )
     if method == "toDeltaLake":
-        merge = config.get("mergeSchema")
-        extra = {"mergeSchema": str(merge).lower()} if merge is not None else {}
+        table_format = config.get("tableFormat", "delta")
+        merge = sinks.files.delta_write_options(config.get("mergeSchema")) if table_format == "delta" else {}
         return streaming.write_stream(
-            df, config["path"], "delta", partition_by=config.get("partitionBy"), **common, **extra
+            df, config["path"], table_format, partition_by=config.get("partitionBy"), **common, **merge
         )
     if method == "toS3":
         uri, options = _object_store(run, config)

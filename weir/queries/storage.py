@@ -23,8 +23,8 @@ from weir.operators import (
 )
 from weir.queries.tables import table
 from weir.scratch import scratch_path
-from weir.sinks import kafka_frame, write_files, write_parquet_with_avro_schema
-from weir.sources import decode_json, read_files
+from weir.sinks import kafka_frame, write_files, write_parquet_with_avro_schema, write_table
+from weir.sources import decode_json, read_files, read_table
 
 
 def kafka_frame_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +112,17 @@ def sink_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_frames(results)
 
 
+def sink_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a table folder, the second with one column more."""
+    path = scratch_path(spark, "merge")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    early = filter_rows(orders, "o_orderstatus <> 'P'")
+    late = enrich(filter_rows(orders, "o_orderstatus = 'P'"), {"review": "o_totalprice > 250000"})
+    write_table(early, path, table_format="parquet")
+    write_table(late, path, table_format="parquet")
+    return read_table(spark, path, table_format="parquet", merge_schema=True)
+
+
 def sink_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One derived frame, computed once, in two sinks."""
     shared = cache(
@@ -249,6 +260,11 @@ QUERIES = {
         union all select 'ignore', o_orderstatus, count(*) from orders group by o_orderstatus
         union all select 'overwrite', o_orderstatus, count(*) from orders where o_orderstatus = 'F' group by o_orderstatus""",
     ),
+    "sink_merge_schema": (
+        sink_merge_schema,
+        """select o_orderkey, o_orderstatus, o_totalprice,
+        case when o_orderstatus = 'P' then o_totalprice > 250000 end as review from orders""",
+    ),
     "sink_fanout": (
         sink_fanout,
         """select s.sink, o_totalprice > 400000 as big, count(*) as count from orders,

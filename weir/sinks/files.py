@@ -58,17 +58,23 @@ def delta_write_options(merge_schema: Any = None, overwrite_schema: Any = None)
     return {key: str(value).lower() for key, value in options.items() if value is not None}
 
 
-def write_delta(
+def write_table(
     df: DataFrame,
     path: str,
     mode: str = "append",
     partition_by: str | Sequence[str] | None = None,
     merge_schema: Any = None,
     overwrite_schema: Any = None,
+    table_format: str = "delta",
+    balance: bool = False,
 ) -> None:
-    """Write a Delta table. Needs the Delta module."""
-    options = delta_write_options(merge_schema, overwrite_schema)
-    write_files(df, path, "delta", mode, partition_by, **options)
+    """Write a table folder: Delta (needs its module) or plain Parquet.
+
+    A Parquet folder takes appended rows with new columns as they are; ask for
+    the merged schema when reading it.
+    """
+    options = delta_write_options(merge_schema, overwrite_schema) if table_format == "delta" else {}
+    write_files(df, path, table_format, mode, partition_by, balance=balance, **options)
 
 
 def write_avro(

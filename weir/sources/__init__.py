@@ -1,4 +1,4 @@
-from weir.sources.files import object_uri, read_avro, read_delta, read_files
+from weir.sources.files import object_uri, read_avro, read_files, read_table
 from weir.sources.jdbc import jdbc_read_options, jdbc_url, read_jdbc
 from weir.sources.kafka import decode_json, kafka_options, kafka_read_options, read_kafka
 from weir.sources.synthetic import synthetic_rows
@@ -11,9 +11,9 @@ __all__ = [
     "kafka_read_options",
     "object_uri",
     "read_avro",
-    "read_delta",
     "read_files",
     "read_jdbc",
     "read_kafka",
+    "read_table",
     "synthetic_rows",
 ]

@@ -63,11 +63,24 @@ def delta_read_options(version: int | str | None = None, timestamp: str | None =
     return {"timestampAsOf": str(timestamp)} if timestamp is not None else {}
 
 
-def read_delta(
-    spark: SparkSession, path: str, version: int | str | None = None, timestamp: str | None = None
+def read_table(
+    spark: SparkSession,
+    path: str,
+    version: int | str | None = None,
+    timestamp: str | None = None,
+    table_format: str = "delta",
+    merge_schema: bool = False,
 ) -> DataFrame:
-    """Delta table, latest or as of a version or timestamp. Needs the Delta module."""
-    return spark.read.format("delta").options(**delta_read_options(version, timestamp)).load(path)
+    """Table folder: Delta, latest or as of a version or timestamp, or Parquet.
+
+    A Parquet folder has no versions; see ``snapshot_as_of`` for change logs.
+    """
+    travel = delta_read_options(version, timestamp)
+    if table_format != "delta":
+        if travel:
+            raise ValueError(f"a {table_format} folder cannot be read as of a version or timestamp")
+        return read_files(spark, path, table_format, mergeSchema=merge_schema)
+    return spark.read.format("delta").options(**travel).load(path)
 
 
 def _text(value: Any) -> str:
