@@ -206,3 +206,67 @@ def test_credentials_become_options(spark):
     assert options["url"] == "jdbc:postgresql://db:5433/shop"
     assert options["driver"] == "org.postgresql.Driver" and options["user"] == "u"
     assert _jdbc(run, "toMySQL", {"url": "jdbc:mysql://m/x"})["url"] == "jdbc:mysql://m/x"
+
+
+def test_connector_steps_pass_their_options(spark, people, monkeypatch):
+    """No connection is made: the connector functions only record their arguments."""
+    seen = {}
+
+    def record(name, result):
+        def call(*args, **kwargs):
+            seen[name] = (args[1:], kwargs)
+            return result
+
+        return call
+
+    from weir import sinks, sources
+
+    monkeypatch.setattr(sources, "read_jdbc", record("read_jdbc", people))
+    monkeypatch.setattr(sources, "read_kafka", record("read_kafka", people.selectExpr("to_json(struct(*)) as value")))
+    monkeypatch.setattr(sources, "read_table", record("read_table", people))
+    monkeypatch.setattr(sources, "read_avro", record("read_avro", people))
+    monkeypatch.setattr(sinks, "write_jdbc", record("write_jdbc", None))
+    monkeypatch.setattr(sinks, "write_kafka", record("write_kafka", None))
+    secrets = {
+        "pg": {"host": "db", "database": "shop", "username": "u", "password": "p"},
+        "kafka": {"bootstrap.servers": "b:1", "security.protocol": "SSL"},
+    }
+    run = run_steps(
+        spark,
+        spec(
+            step("extract", "fromPostgres", query="select 1", credentialPath="pg", partitionColumn="id", numPartitions=20),
+            step("extract", "fromKafka", topic="t", credentialPath="kafka", endingOffsets="latest", schema="id int, age int"),
+            step("extract", "fromDeltaLake", path="/d", version=3),
+            step("extract", "fromAvro", path="/a", avroSchema="{}"),
+            step("load", "toMySQL", url="jdbc:mysql://m/x", table="out", mode="overwrite", batchSize=5000),
+            step("load", "toKafka", topic="u", **{"bootstrap.servers": "c:2"}),
+        ),
+        credentials=secrets,
+    )
+    assert seen["read_jdbc"][1]["url"] == "jdbc:postgresql://db:5432/shop"
+    assert seen["read_jdbc"][1]["query"] == "select 1" and seen["read_jdbc"][1]["partitions"] == 20
+    assert seen["read_kafka"] == (("t", False), {"properties": secrets["kafka"], "endingOffsets": "latest"})
+    assert seen["read_table"][0] == ("/d", 3, None, "delta")
+    assert seen["read_avro"][0] == ("/a", "{}", None)
+    assert seen["write_jdbc"][1]["batch_size"] == 5000 and seen["write_jdbc"][1]["mode"] == "overwrite"
+    assert seen["write_kafka"] == (("u",), {"properties": {"bootstrap.servers": "c:2"}})
+    assert run.current().count() == 3
+    with pytest.raises(ValueError, match="needs a url"):
+        run_steps(spark, spec(step("extract", "fromPostgres", table="t", credentialPath="missing")))
+
+
+def test_history_is_kept_on_success_and_failure(spark, people, tmp_path):
+    from weir.metrics import read_history, throughput
+
+    folder = str(tmp_path / "history")
+    load = step("load", "toS3", **s3(str(tmp_path / "out")))
+    run_steps(spark, spec(load), primary=people, history=folder)
+    with pytest.raises(ValidationFailed):
+        run_steps(
+            spark, spec(step("validate", "validateRanges", ranges={"age": [18, 99]}), load), primary=people, history=folder
+        )
+    lines = read_history(spark, folder)
+    assert rows(lines.select("method", "status", "records")) == [
+        ("toS3", "SUCCESS", 3), ("validateRanges", "FAILED", None),
+    ]
+    assert throughput(lines).first().records == 3

@@ -60,6 +60,16 @@ def test_hot_key_form_gives_the_same_rows(users, orders, how):
     assert rows(split.select("user_id", "name", "order_id")) == rows(plain.select("user_id", "name", "order_id"))
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full", "inner", "anti"])
+def test_hot_key_form_of_conditions(users, orders, how):
+    frames = {"users": users, "orders": orders}
+    want = [c for c in ("user_id", "name", "order_id") if how != "anti" or c != "order_id"]
+    split = join_frames(frames, ON, how, hot_keys=True)
+    assert rows(split.select(*want)) == rows(join_frames(frames, ON, how).select(*want))
+    with pytest.raises(ValueError, match="hot_keys"):
+        join_frames(frames, ["users.user_id = orders.user_id and amount > 1"], how, hot_keys=True)
+
+
 @pytest.mark.parametrize("how", ["semi", "left_semi", "anti", "leftanti"])
 @pytest.mark.parametrize("hot", [False, True])
 def test_semi_and_anti(users, orders, how, hot):
@@ -139,3 +149,10 @@ def test_broadcast_is_size_checked(spark, tmp_path, settings):
     assert "SortMergeJoin" in plan(large) and "BroadcastHashJoin" not in plan(large)
     assert rows(small) == rows(large)
     assert broadcast_if_small(dim, size - 1) is dim
+
+
+def test_an_exploded_frame_is_never_broadcast(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(10).selectExpr("id as k", "sequence(0, 1000) as xs").write.parquet(path)
+    wide = spark.read.parquet(path).selectExpr("k", "explode(xs) as x")
+    assert broadcast_if_small(wide) is wide

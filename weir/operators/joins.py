@@ -48,12 +48,16 @@ def join_type(how: str) -> str:
 def planned_bytes(df: DataFrame) -> int:
     """Upper estimate of the frame's size, as the optimizer sees it.
 
-    Where the session offers no statistics the frame counts as too large.
+    The optimizer does not see how many rows an ``explode`` adds, so such a
+    frame counts as too large, as does one of a session without statistics.
     """
-    plan = getattr(df, "_jdf", None)
-    if plan is None:
+    frame = getattr(df, "_jdf", None)
+    if frame is None:
         return sys.maxsize
-    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    plan = frame.queryExecution().optimizedPlan()
+    if "Generate " in plan.toString():
+        return sys.maxsize
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -70,6 +74,7 @@ def join_frames(
     how: str = "inner",
     *,
     key_policy: str = "coalesce",
+    hot_keys: bool = False,
     broadcast: Iterable[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
@@ -79,7 +84,8 @@ def join_frames(
     right and full joins it holds whichever side is not NULL; with
     ``key_policy="left"`` it stays the left value, NULL for right-only rows.
     Conditions may be any predicate, but one without an equality pairs every
-    row with every row, so give one wherever the data is large.
+    row with every row, so give one wherever the data is large. ``hot_keys``
+    needs conditions of the form ``a.k = b.k``; see :func:`join_using`.
     """
     if key_policy not in ("coalesce", "left"):
         raise ValueError("key_policy is 'coalesce' or 'left'")
@@ -92,6 +98,8 @@ def join_frames(
     if len(set(names)) != len(names):
         raise ValueError("give each frame its own name; a self join uses two names")
     kind = join_type(how)
+    if hot_keys:
+        return _fold_in_parts(named, conditions, kind)
     small = set(broadcast)
     late_keys = kind in ("right", "full") and key_policy == "coalesce"
 
@@ -135,11 +143,12 @@ def join_using(
     kind = join_type(how)
 
     def step(left: DataFrame, right: DataFrame) -> DataFrame:
+        step_kind = "inner" if kind == "cross" else kind
         if hot_keys:
-            return _join_in_parts(left, right, keys, kind)
+            return _join_in_parts(left, right, keys, step_kind)
         if broadcast:
             right = broadcast_if_small(right, broadcast_limit)
-        return left.join(right, keys, "inner" if kind == "cross" else kind)
+        return left.join(right, keys, step_kind)
 
     return reduce(step, frames)
 
@@ -155,6 +164,16 @@ def _join_in_parts(left: DataFrame, right: DataFrame, keys: list[str], kind: str
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def _fold_in_parts(named: list[tuple[str, DataFrame]], conditions: Sequence[str], kind: str) -> DataFrame:
+    result = named[0][1]
+    for (name, frame), condition in zip(named[1:], conditions):
+        shared = _shared_key(condition, name)
+        if shared is None:
+            raise ValueError(f"hot_keys needs conditions like a.k = b.k, not {condition!r}")
+        result = _join_in_parts(result, frame, [shared[1]], "inner" if kind == "cross" else kind)
+    return result
+
+
 def _qualified(frame: str, column: str) -> Column:
     return F.col(f"`{frame}`.`{column}`")
 

@@ -64,11 +64,14 @@ def run_steps(
     frames: Mapping[str, DataFrame] | None = None,
     primary: DataFrame | None = None,
     credentials: Mapping[str, Mapping[str, Any]] | None = None,
+    history: str | None = None,
 ) -> Run:
     """Fold the steps; returns the last primary frame, named frames and queries.
 
     ``frames`` and ``primary`` can be given beforehand, as library use does.
     ``credentials`` maps each ``credentialPath`` in the steps to its options.
+    ``history`` names a folder that the step metrics are appended to, whether
+    the run succeeds or fails.
     """
     mode = spec.get("mode", "batch")
     if mode not in MODES:
@@ -87,10 +90,14 @@ def run_steps(
         primary,
         dict(frames or {}),
     )
-    for shared, group in groupby(steps, key=_scan_key):
-        members = list(group)
-        for batch in [members] if shared[0] == "checks" else [[step] for step in members]:
-            _timed_step(run, batch)
+    try:
+        for shared, group in groupby(steps, key=_scan_key):
+            members = list(group)
+            for batch in [members] if shared[0] == "checks" else [[step] for step in members]:
+                _timed_step(run, batch)
+    finally:
+        if history and run.metrics:
+            metrics.append_history(metrics.metrics_frame(spark, run.metrics), history)
     return run
 
 
@@ -136,6 +143,8 @@ def _secrets(run: Run, config: Mapping[str, Any]) -> dict[str, Any]:
 def _jdbc(run: Run, method: str, config: Mapping[str, Any]) -> dict[str, Any]:
     secret = {**_secrets(run, config), **{k: config[k] for k in ("url", "user", "password") if k in config}}
     database = JDBC_DATABASE[method]
+    if not (secret.get("url") or secret.get("host")):
+        raise ValueError(f"{method} needs a url, or credentials with host and database")
     url = secret.get("url") or sources.jdbc_url(
         database, secret["host"], secret["database"], secret.get("port")
     )
@@ -148,6 +157,11 @@ def _jdbc(run: Run, method: str, config: Mapping[str, Any]) -> dict[str, Any]:
     }
 
 
+def _kafka(run: Run, config: Mapping[str, Any]) -> dict[str, Any]:
+    servers = {key: config[key] for key in ("bootstrap.servers",) if key in config}
+    return {**servers, **_secrets(run, config)}
+
+
 def _object_store(run: Run, config: Mapping[str, Any]) -> tuple[str, dict[str, Any]]:
     secret = _secrets(run, config)
     names = {
@@ -182,7 +196,7 @@ def _extract(run: Run, steps: list[dict[str, Any]]) -> None:
             if key in config
         }
         df = sources.read_kafka(
-            run.spark, config["topic"], run.streaming, properties=_secrets(run, config), **offsets
+            run.spark, config["topic"], run.streaming, properties=_kafka(run, config), **offsets
         )
         if config.get("schema"):
             df = sources.decode_json(df, config["schema"])
@@ -251,6 +265,7 @@ def _join(run: Run, config: Mapping[str, Any]) -> DataFrame:
             config["joinConditions"],
             how,
             key_policy=config.get("keyPolicy", "coalesce"),
+            hot_keys=bool(config.get("hotKeys", False)),
             broadcast=names[1:] if small else (),
         )
     if key is None:
@@ -333,7 +348,7 @@ def _load(run: Run, steps: list[dict[str, Any]]) -> int | None:
         extra = {"batch_size": config["batchSize"]} if "batchSize" in config else {}
         sinks.write_jdbc(df, table=config["table"], mode=mode, **extra, **_jdbc(run, method, config))
     elif method == "toKafka":
-        sinks.write_kafka(df, config["topic"], properties=_secrets(run, config))
+        sinks.write_kafka(df, config["topic"], properties=_kafka(run, config))
     elif method == "toS3":
         uri, options = _object_store(run, config)
         file_format = config.get("format", "parquet")
@@ -365,9 +380,7 @@ def _start_stream(run: Run, method: str, config: Mapping[str, Any], df: DataFram
         "query_name": config.get("queryName"),
     }
     if method == "toKafka":
-        return streaming.write_kafka_stream(
-            df, config["topic"], properties=_secrets(run, config), **common
-        )
+        return streaming.write_kafka_stream(df, config["topic"], properties=_kafka(run, config), **common)
     if method == "toDeltaLake":
         table_format = config.get("tableFormat", "delta")
         merge = sinks.files.delta_write_options(config.get("mergeSchema")) if table_format == "delta" else {}

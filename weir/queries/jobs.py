@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.operators import filter_rows, null_checks, range_checks, rule_checks
+from weir.operators import Check, filter_rows, null_checks, range_checks, rule_checks
 from weir.plans import jobs
 from weir.plans.jobs import PRIORITIES
-from weir.queries.quality import EVENT_TARGET, LINE_RANGES, LINE_RULES
+from weir.queries.quality import (
+    EVENT_TARGET,
+    LINE_RANGES,
+    LINE_RULES,
+    RANGE_CHECKS_SQL,
+    RULE_CHECKS_SQL,
+    report_sql,
+)
 from weir.queries.streams import event_stream
 from weir.queries.tables import table
 from weir.scratch import scratch_path
@@ -34,10 +41,23 @@ def job_sales_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, path, schema=dated.schema)
 
 
+def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    expected = [
+        {"name": "l_orderkey", "type": "long"},
+        {"name": "l_quantity", "type": "double"},
+        {"name": "l_shipdate", "type": "timestamp_ntz"},
+        {"name": "l_returnflag", "type": "string"},
+    ]
+    lines = table(spark, sf_dir, "lineitem")
+    return jobs.quality_gate(lines, expected, _gate_checks(), scratch_path(spark, "gate"))
+
+
+def _gate_checks() -> list[Check]:
+    return null_checks(["l_orderkey", "l_partkey"]) + range_checks(LINE_RANGES) + rule_checks(LINE_RULES[1:2])
+
+
 def job_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks = null_checks(["l_orderkey", "l_partkey"]) + range_checks(LINE_RANGES) + rule_checks(LINE_RULES[1:2])
-    filed = jobs.quality_gate(table(spark, sf_dir, "lineitem"), checks, scratch_path(spark, "gate"))
-    return filed.select(
+    return _gate(spark, sf_dir).select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -46,6 +66,11 @@ def job_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def job_quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the gate found, read from its output."""
+    return jobs.gate_report(_gate(spark, sf_dir), _gate_checks())
+
+
 def job_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New rows with their date parts, next to the checkpoint they leave behind."""
     orders = table(spark, sf_dir, "orders")
@@ -163,6 +188,18 @@ QUERIES = {
         case when l_quantity < 1 then 'l_quantity >= 1' end,
         case when not ({LINE_RULES[1]}) then '{LINE_RULES[1].replace("'", "''")}' end) as reasons from lineitem) t""",
     ),
+    "job_quality_report": (
+        job_quality_report,
+        report_sql(
+            "lineitem",
+            [
+                ("not_null", "l_orderkey is not null", "l_orderkey is null"),
+                ("not_null", "l_partkey is not null", "l_partkey is null"),
+                *RANGE_CHECKS_SQL,
+                RULE_CHECKS_SQL[1],
+            ],
+        ),
+    ),
     "job_incremental": (
         job_incremental,
         """select o_orderkey, o_custkey, cast(year(o_orderdate) as integer) as year,

@@ -181,7 +181,7 @@ def schema_evolve_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _report_sql(source: str, checks: list[tuple[str, str, str]]) -> str:
+def report_sql(source: str, checks: list[tuple[str, str, str]]) -> str:
     """One row per (kind, rule, SQL that is true on violating rows)."""
     return " union all ".join(
         f"""select '{kind}' as kind, '{rule.replace("'", "''")}' as rule,
@@ -191,12 +191,12 @@ def _report_sql(source: str, checks: list[tuple[str, str, str]]) -> str:
 
 
 _GAPS = "(select * replace (nullif(o_orderstatus, 'P') as o_orderstatus) from orders)"
-_RANGE_CHECKS = [
+RANGE_CHECKS_SQL = [
     ("range", "l_quantity >= 1", "l_quantity < 1"),
     ("range", "l_quantity <= 40", "l_quantity > 40"),
     ("range", "l_discount >= 0.02", "l_discount < cast(0.02 as double)"),
 ]
-_RULE_CHECKS = [
+RULE_CHECKS_SQL = [
     ("rule", LINE_RULES[0], "not (l_tax <= l_discount + cast(0.05 as double))"),
     ("rule", LINE_RULES[1], f"not ({LINE_RULES[1]})"),
     ("rule", LINE_RULES[2], f"not ({LINE_RULES[2]})"),
@@ -217,7 +217,7 @@ QUERIES = {
     ),
     "dq_nulls": (
         dq_nulls,
-        _report_sql(
+        report_sql(
             _GAPS,
             [
                 ("not_null", f"{c} is not null", f"{c} is null")
@@ -225,10 +225,10 @@ QUERIES = {
             ],
         ),
     ),
-    "dq_ranges": (dq_ranges, _report_sql("lineitem", _RANGE_CHECKS)),
+    "dq_ranges": (dq_ranges, report_sql("lineitem", RANGE_CHECKS_SQL)),
     "dq_rules": (
         dq_rules,
-        _report_sql(
+        report_sql(
             _GAPS,
             [
                 ("rule", "o_orderstatus in ('F', 'O')", "not (o_orderstatus in ('F', 'O'))"),
@@ -237,17 +237,17 @@ QUERIES = {
             ],
         ),
     ),
-    "dq_cross_column_rules": (dq_cross_column_rules, _report_sql("lineitem", _RULE_CHECKS)),
+    "dq_cross_column_rules": (dq_cross_column_rules, report_sql("lineitem", RULE_CHECKS_SQL)),
     "dq_fused_report": (
         dq_fused_report,
-        _report_sql(
+        report_sql(
             "lineitem",
             [
                 ("not_null", "l_orderkey is not null", "l_orderkey is null"),
                 ("not_null", "l_shipdate is not null", "l_shipdate is null"),
             ]
-            + _RANGE_CHECKS
-            + _RULE_CHECKS,
+            + RANGE_CHECKS_SQL
+            + RULE_CHECKS_SQL,
         ),
     ),
     "dq_referential": (
@@ -274,7 +274,7 @@ QUERIES = {
             f"""select * from (select '{rule}' as rule,
             cast(row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_quantity) as integer) as sample,
             l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem where {broken}) t where sample <= 5"""
-            for _, rule, broken in _RANGE_CHECKS
+            for _, rule, broken in RANGE_CHECKS_SQL
         ),
     ),
     "dq_quarantine": (

@@ -15,6 +15,14 @@ ADAPTIVE_SETTINGS = {
 }
 
 
+# Input per shuffle partition to start from. Shuffled data is pruned and combined,
+# so it is smaller; the ceiling keeps the bookkeeping of map outputs bounded.
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 32_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SIZED_BY_US = "weir.initialPartitionNum"
+
+
 def build_session(
     app_name: str = "weir",
     master: str | None = None,
@@ -37,3 +45,23 @@ def apply_runtime_settings(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Start shuffles with enough partitions for the input; returns their number.
+
+    Adaptive execution merges partitions that turn out small but adds none,
+    except for skew, so the default of a small session would leave huge ones
+    on a large input. A number the user chose stays.
+    """
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    chosen = spark.conf.get(INITIAL_PARTITIONS, None)
+    if chosen is not None and chosen != spark.conf.get(SIZED_BY_US, None):
+        return int(chosen)
+    wanted = min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+    current = int(chosen or default)
+    if wanted <= current:
+        return current
+    for key in (INITIAL_PARTITIONS, SIZED_BY_US):
+        spark.conf.set(key, str(wanted))
+    return wanted
