@@ -116,12 +116,9 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_composite_references(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two-column foreign key: (part, supplier) pairs among low-quantity lines."""
-    lines = table(spark, sf_dir, "lineitem")
-    stocked = lines.filter("l_quantity <= 25").select("l_suppkey", "l_returnflag")
-    return validate_references(
-        lines.filter("l_discount > 0.09"), ["l_suppkey", "l_returnflag"], stocked, ["l_suppkey", "l_returnflag"]
-    )
+    """Two-column foreign key: (part, supplier) pairs never sold in bulk."""
+    lines, keys = table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"]
+    return validate_references(lines, keys, lines.filter("l_quantity >= 40"), keys)
 
 
 def dq_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,10 +260,10 @@ QUERIES = {
     ),
     "dq_composite_references": (
         dq_composite_references,
-        """select 'reference' as kind, 'l_suppkey, l_returnflag in l_suppkey, l_returnflag' as rule,
-        count(distinct (l_suppkey, l_returnflag)) as violations, count(*) as "rows" from lineitem a
-        where l_discount > cast(0.09 as double) and not exists (select 1 from lineitem b where b.l_quantity <= 25
-        and b.l_suppkey = a.l_suppkey and b.l_returnflag = a.l_returnflag)""",
+        """select 'reference' as kind, 'l_partkey, l_suppkey in l_partkey, l_suppkey' as rule,
+        count(distinct (l_partkey, l_suppkey)) as violations, count(*) as "rows" from lineitem a
+        where not exists (select 1 from lineitem b where b.l_quantity >= 40
+        and b.l_partkey = a.l_partkey and b.l_suppkey = a.l_suppkey)""",
     ),
     "dq_samples": (
         dq_samples,

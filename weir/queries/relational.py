@@ -48,7 +48,7 @@ def filter_enrich_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = filter_rows(table(spark, sf_dir, "lineitem"), "l_quantity > 10")
     derived = enrich(
         kept,
-        {"quantity_band": "floor(l_quantity / 10)", "wanted": "quantity_band % 2 = 0"},
+        {"quantity_band": "floor(l_quantity / 10)", "wanted": "quantity_band >= 2"},
     )
     return filter_rows(derived, "wanted and l_discount < 0.05").select(
         "l_orderkey", "l_partkey", "l_quantity", "quantity_band"
@@ -265,7 +265,7 @@ def join_self(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         F.col("a.o_orderkey").alias("order_key"),
         F.col("b.o_orderkey").alias("next_key"),
-        (F.col("b.o_totalprice") > F.col("a.o_totalprice")).alias("rises"),
+        F.coalesce(F.col("b.o_totalprice") > F.col("a.o_totalprice"), F.lit(False)).alias("rises"),
     )
 
 
@@ -476,7 +476,7 @@ QUERIES = {
     "filter_enrich_filter": (
         filter_enrich_filter,
         """select l_orderkey, l_partkey, l_quantity, cast(floor(l_quantity / 10) as bigint) as quantity_band
-        from lineitem where l_quantity > 10 and cast(floor(l_quantity / 10) as bigint) % 2 = 0
+        from lineitem where l_quantity > 10 and cast(floor(l_quantity / 10) as bigint) >= 2
         and l_discount < 0.05""",
     ),
     "enrich_case_flags": (
@@ -568,7 +568,7 @@ QUERIES = {
     ),
     "join_self": (
         join_self,
-        """select a.o_orderkey as order_key, b.o_orderkey as next_key, b.o_totalprice > a.o_totalprice as rises
+        """select a.o_orderkey as order_key, b.o_orderkey as next_key, coalesce(b.o_totalprice > a.o_totalprice, false) as rises
         from orders a left join orders b on b.o_orderkey = a.o_orderkey + 1""",
     ),
     "aggregate_basic": (

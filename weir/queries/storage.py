@@ -117,7 +117,7 @@ def sink_merge_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "merge")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     early = filter_rows(orders, "o_orderstatus <> 'P'")
-    late = enrich(filter_rows(orders, "o_orderstatus = 'P'"), {"review": "o_totalprice > 250000"})
+    late = enrich(filter_rows(orders, "o_orderstatus = 'P'"), {"review": "if(o_totalprice > 250000, 'yes', 'no')"})
     write_table(early, path, table_format="parquet")
     write_table(late, path, table_format="parquet")
     return read_table(spark, path, table_format="parquet", merge_schema=True)
@@ -140,7 +140,7 @@ def sink_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     checkpoint = filter_rows(orders, "o_orderdate < '2000-06-01'").select("o_orderdate")
     fresh = newer_than(orders, "o_orderdate", checkpoint, "o_orderdate")
@@ -156,7 +156,7 @@ def layout_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repartition(table(spark, sf_dir, "orders").drop("o_orderdate"), "8")
 
 
-def layout_repartition_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layout_by_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repartition_by(table(spark, sf_dir, "orders").drop("o_orderdate"), ["o_custkey"], 6)
 
 
@@ -263,15 +263,16 @@ QUERIES = {
     "sink_merge_schema": (
         sink_merge_schema,
         """select o_orderkey, o_orderstatus, o_totalprice,
-        case when o_orderstatus = 'P' then o_totalprice > 250000 end as review from orders""",
+        case when o_orderstatus <> 'P' then null when o_totalprice > 250000 then 'yes' else 'no' end as review
+        from orders""",
     ),
     "sink_fanout": (
         sink_fanout,
         """select s.sink, o_totalprice > 400000 as big, count(*) as count from orders,
         (values ('parquet'), ('json')) as s(sink) where o_totalprice > 100000 group by 1, 2""",
     ),
-    "incremental_extract": (
-        incremental_extract,
+    "incremental_load": (
+        incremental_load,
         """select * replace (strftime(o_orderdate, '%Y-%m-%d') as o_orderdate) from orders where o_orderdate >
         (select max(o_orderdate) from orders where o_orderdate < timestamp '2000-06-01')""",
     ),
@@ -282,7 +283,7 @@ QUERIES = {
         where r = 1""",
     ),
     "layout_repartition": (layout_repartition, "select * exclude (o_orderdate) from orders"),
-    "layout_repartition_by": (layout_repartition_by, "select * exclude (o_orderdate) from orders"),
+    "layout_by_columns": (layout_by_columns, "select * exclude (o_orderdate) from orders"),
     "layout_coalesce": (layout_coalesce, "select * exclude (o_orderdate) from orders"),
     "step_metrics": (
         step_metrics,

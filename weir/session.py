@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Skewed join and rebalance partitions are split at run time. The force flag
-# lets Spark split a hot join key even when that costs one more exchange.
+# lets Spark split a hot join key even when that costs one more exchange. The
+# advisory size also sets how large the files of a balanced write become.
 ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 
