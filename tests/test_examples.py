@@ -105,6 +105,20 @@ def test_incremental_load_moves_the_checkpoint(spark, cut):
     assert {"year", "month", "day"} <= set(loaded.columns)
 
 
+def test_repeated_incremental_loads(spark, tmp_path):
+    path = str(tmp_path / "orders")
+    day = "cast(date_add(date'2024-01-01', cast(id as int)) as timestamp_ntz) as at"
+    nothing = spark.sql("select cast(null as timestamp_ntz) as last_processed").filter("false")
+    loaded, _ = jobs.incremental_load(spark.range(0, 5).selectExpr("id", day), nothing, "at", path, "1970-01-01")
+    assert loaded.count() == 5
+    for upto, total in ((9, 9), (9, 9), (12, 12)):
+        kept = spark.read.parquet(f"{path}/checkpoint")
+        loaded, mark = jobs.incremental_load(spark.range(0, upto).selectExpr("id", day), kept, "at", path)
+        assert rows(loaded.select("id")) == sorted(((i,) for i in range(total)), key=repr)
+        assert mark.first().last_processed.day == total
+    assert spark.read.parquet(f"{path}/checkpoint").count() == 3
+
+
 def test_star_keeps_facts_without_dimensions(spark):
     lines = spark.createDataFrame([(1, 10, 5, 1.0), (2, 11, 6, 2.0)], "l_orderkey int, l_partkey int, l_suppkey int, q double")
     part = spark.createDataFrame([(10, "p")], "p_partkey int, p_name string")

@@ -4,7 +4,7 @@ import random
 import pytest
 from conftest import plan, rows
 from weir.functions import check_sql_text, nearest_rank
-from weir.metrics import append_history, metrics_frame, observe, read_history, throughput, timed
+from weir.metrics import append_history, metrics_frame, observe, observed, read_history, throughput, timed
 
 
 def test_observed_counts_cost_no_extra_job(spark, tmp_path):
@@ -14,6 +14,15 @@ def test_observed_counts_cost_no_extra_job(spark, tmp_path):
     assert (seen.get["records"], left.get["records"]) == (100, 10)
 
 
+def test_an_observation_behind_an_empty_shuffle(spark, tmp_path):
+    df, seen = observe(spark.range(10).filter("id > 99"), "nothing")
+    df.repartition(3).write.parquet(str(tmp_path / "t"))
+    assert observed(seen).get("records", 0) == 0
+    df, seen = observe(spark.range(10), "some")
+    df.repartition(3).write.parquet(str(tmp_path / "u"))
+    assert observed(seen) == {"records": 10}
+
+
 def test_history_and_throughput(spark, tmp_path):
     path = str(tmp_path / "history")
     line = {"pipeline": "p", "step": 0, "type": "load", "method": "toS3", "status": "SUCCESS"}

@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ def observe(
 ) -> tuple[DataFrame, Observation]:
     """Count rows, and any further aggregates, as the frame is computed.
 
-    Costs no extra scan: read ``observation.get`` after an action. Like the
+    Costs no extra scan: read it with :func:`observed` after an action. Like the
     counters of the Spark UI, a count may include rows of a retried stage.
     """
     observation = Observation(name)
@@ -28,6 +29,18 @@ def observe(
     return df.observe(observation, F.count(F.lit(1)).alias("records"), *extra), observation
 
 
+def observed(observation: Observation) -> dict[str, Any]:
+    """Values of an observation after its action.
+
+    Empty when Spark left the observed part of the plan out, which it does
+    behind a shuffle that moved no rows.
+    """
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        return {}
+
+
 def timed(action: Callable[[], Any]) -> tuple[str, int, Any]:
     """Run an action; return status, duration in ms and its result or error."""
     start = time.monotonic()

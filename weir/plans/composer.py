@@ -369,7 +369,7 @@ def _load(run: Run, steps: list[dict[str, Any]]) -> int | None:
         )
     else:
         raise ValueError(f"unknown load method {method!r}")
-    return observation.get["records"] if observation else None
+    return metrics.observed(observation).get("records", 0) if observation else None
 
 
 def _start_stream(run: Run, method: str, config: Mapping[str, Any], df: DataFrame) -> StreamingQuery:

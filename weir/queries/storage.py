@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir.functions import nearest_rank
-from weir.metrics import append_history, metrics_frame, observe, read_history, throughput
+from weir.metrics import append_history, metrics_frame, observe, observed, read_history, throughput
 from weir.operators import (
     cache,
     coalesce,
@@ -177,7 +177,7 @@ def step_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
             "type": kind,
             "method": method,
             "status": "SUCCESS",
-            "records": seen.get["records"],
+            "records": observed(seen).get("records", 0),
         }
         for i, (kind, method, seen) in enumerate(
             [("extract", "read", read), ("transform", "filter", kept), ("load", "write", written)]
