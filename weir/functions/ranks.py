@@ -12,7 +12,7 @@ from weir.scratch import checkpointed
 
 ACCURACY = 10_000
 LEAF_ROWS = 4_000_000
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 20_000  # of at most some kilobytes each
 EVEN_CUTS = [i / 32 for i in range(1, 32)]
 MAX_ROUNDS = 10
 

@@ -9,6 +9,7 @@ from typing import Any
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HISTORY_SCHEMA = (
     "pipeline string, step int, type string, method string, status string, "
@@ -53,8 +54,12 @@ def timed(action: Callable[[], Any]) -> tuple[str, int, Any]:
 
 def metrics_frame(spark: SparkSession, lines: Sequence[Mapping[str, Any]]) -> DataFrame:
     """Recorded steps as a frame in the history schema: one short row per step."""
-    names = [part.split()[0] for part in HISTORY_SCHEMA.split(", ")]
-    return spark.createDataFrame([tuple(line.get(n) for n in names) for line in lines], HISTORY_SCHEMA)
+    fields = T.StructType.fromDDL(HISTORY_SCHEMA).fields
+    steps = [
+        F.struct(*[F.lit(line.get(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+        for line in lines
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*steps)))
 
 
 def append_history(metrics: DataFrame, path: str) -> None:
