@@ -1,5 +1,5 @@
 from weir.functions.guards import check_sql_text
-from weir.functions.money import exact_sum, to_cents
+from weir.functions.money import cents_sql, exact_sum, to_cents
 from weir.functions.ranks import nearest_rank
 
-__all__ = ["check_sql_text", "exact_sum", "nearest_rank", "to_cents"]
+__all__ = ["cents_sql", "check_sql_text", "exact_sum", "nearest_rank", "to_cents"]

@@ -1,4 +1,9 @@
-"""Order-independent sums of two-digit amounts stored as doubles."""
+"""Order-independent sums of amounts stored as doubles.
+
+Amounts with a fixed number of digits become whole numbers of their smallest
+unit. Adding those up is exact in any order, and several times faster than
+adding decimals. A sum past 9.2e18 units is an error, not a wrong number.
+"""
 
 from __future__ import annotations
 
@@ -6,15 +11,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def cents_sql(column: str, digits: int = 2) -> str:
+    """SQL text for the amount in its smallest unit."""
+    return f"cast(rint(({column}) * {10**digits}) as bigint)"
 
 
-def to_cents(value: Column | str, scale: int = 2) -> Column:
-    """The amount as a decimal, so that adding it up never depends on order."""
-    return _column(value).cast(f"decimal(18,{scale})")
+def to_cents(value: Column | str, digits: int = 2) -> Column:
+    amount = F.col(value) if isinstance(value, str) else value
+    return F.rint(amount * 10**digits).cast("bigint")
 
 
-def exact_sum(value: Column | str, scale: int = 2) -> Column:
-    """Decimal sum returned as a double."""
-    return F.sum(to_cents(value, scale)).cast("double")
+def exact_sum(value: Column | str, digits: int = 2) -> Column:
+    """The exact sum, as a double."""
+    return F.sum(to_cents(value, digits)) / 10**digits

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.functions import exact_sum
+from weir.functions import cents_sql, exact_sum
 from weir.operators import (
     aggregate,
     enrich,
@@ -228,7 +228,7 @@ def join_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     revenue = aggregate(
         enrich(
             table(spark, sf_dir, "lineitem"),
-            {"net": "cast(l_extendedprice * (1 - l_discount) as decimal(18,4))"},
+            {"net": cents_sql("l_extendedprice * (1 - l_discount)", 4)},
         ),
         ["l_orderkey"],
         {"net": "sum", "l_linenumber": "count"},
@@ -252,7 +252,8 @@ def join_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate(
         joined,
         ["r_name"],
-        {"lines": "sum(l_linenumber_count)", "revenue": "cast(sum(net_sum) as double)"},
+        # Whole regions may pass the range of a bigint; orders do not.
+        {"lines": "sum(l_linenumber_count)", "revenue": "cast(sum(cast(net_sum as decimal(20,0))) / 10000 as double)"},
     )
 
 
@@ -270,15 +271,13 @@ def join_self(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aggregate_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = enrich(
-        table(spark, sf_dir, "lineitem"), {"price": "cast(l_extendedprice as decimal(18,2))"}
-    )
+    priced = enrich(table(spark, sf_dir, "lineitem"), {"price": cents_sql("l_extendedprice")})
     grouped = aggregate(
         priced,
         ["l_returnflag", "l_linestatus"],
         {"price": "sum", "l_quantity": "mean", "l_partkey": "count", "l_discount": "min", "l_tax": "max"},
     )
-    return enrich(grouped, {"price_sum": "cast(price_sum as double)"})
+    return enrich(grouped, {"price_sum": "price_sum / 100"})
 
 
 def aggregate_exprs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +286,7 @@ def aggregate_exprs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["event_type"],
         {
             "total": "count(*)",
-            "amount": "cast(sum(cast(value as decimal(18,2))) as double)",
+            "amount": f"sum({cents_sql('value')}) / 100",
             "first_seen": "date_format(min(ts), 'yyyy-MM-dd HH:mm:ss')",
             "last_seen": "date_format(max(ts), 'yyyy-MM-dd HH:mm:ss')",
         },
@@ -308,7 +307,7 @@ def aggregate_global(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "o_orderkey": "count",
             "o_totalprice": "max",
-            "total": "cast(sum(cast(o_totalprice as decimal(18,2))) as double)",
+            "total": f"sum({cents_sql('o_totalprice')}) / 100",
         },
     )
 
@@ -333,12 +332,10 @@ def aggregate_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pivot_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priced = enrich(
-        table(spark, sf_dir, "orders"), {"price": "cast(o_totalprice as decimal(18,2))"}
-    )
+    priced = enrich(table(spark, sf_dir, "orders"), {"price": cents_sql("o_totalprice")})
     wide = pivot(priced, ["o_orderstatus"], "o_orderpriority", "price", values=PRIORITIES)
     return wide.select(
-        "o_orderstatus", *[F.col(f"`{p}`").cast("double").alias(p) for p in PRIORITIES]
+        "o_orderstatus", *[(F.col(f"`{p}`") / 100).alias(p) for p in PRIORITIES]
     )
 
 
@@ -412,7 +409,7 @@ def composed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "type": "transform",
                 "method": "enrichData",
                 "config": {
-                    "columns": {"amount": "cast(o_totalprice as decimal(18,2))"},
+                    "columns": {"amount": cents_sql("o_totalprice")},
                     "registerAs": "done",
                 },
             },
@@ -437,7 +434,7 @@ def composed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "method": "enrichData",
                 "config": {
                     "columns": {
-                        "amount_sum": "cast(amount_sum as double)",
+                        "amount_sum": "amount_sum / 100",
                         "average": "amount_sum / o_orderkey_count",
                     }
                 },
