@@ -1,0 +1,87 @@
+import itertools
+import re
+
+import numpy as np
+import pytest
+from conftest import SF_DIR
+
+from weir.llm import mixing
+from weir.llm.queries import REGISTRY
+from weir.queries.tables import table
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def targets(sizes):
+    """By resharing, as the contract tells it."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    capped, total = set(), sum(sizes.values())
+    while True:
+        rest = total - sum(3 * sizes[s] for s in capped)
+        free = sum(weight[s] for s in order if s not in capped)
+        level = {s: 3 * sizes[s] if s in capped else rest * weight[s] / free for s in order}
+        above = {s for s in order if s not in capped and level[s] > 3 * sizes[s]}
+        if not above:
+            return level
+        capped |= above
+
+
+def check(docs, out):
+    rows = out.collect()
+    sizes = {}
+    for r in docs.collect():
+        sizes[r.source] = sizes.get(r.source, 0) + words(r.text)
+    want = targets(sizes) if sizes else {}
+    by_id = {}
+    for r in docs.collect():
+        by_id.setdefault((r.doc_id, words(r.text), sizes[r.source], round(want[r.source], 3)), []).append(r.source)
+    taken = dict.fromkeys(sizes, 0)
+    for r in rows:
+        taken[by_id[(r.doc_id, r["size"], r.source_size, round(r.target, 3))].pop()] += r.taken
+        assert 0 <= r.taken <= 3 * r["size"]
+    assert not any(by_id.values()) and len(rows) == docs.count()
+    return want, taken
+
+
+def test_whole_table(spark):
+    docs = table(spark, SF_DIR, "documents")
+    query = REGISTRY["op5_mix_sources"][0]
+    want, taken = check(docs, query(spark, SF_DIR))
+    for source, words_wanted in want.items():
+        assert abs(taken[source] - words_wanted) <= max(10, words_wanted * 0.02)  # ten documents a source
+    assert sorted(query(spark, SF_DIR).collect()) == sorted(query(spark, SF_DIR).collect())
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "a"), (2, "", None), (3, "x y z", None), (3, "x y z", None), (None, "u v", "b"), (4, "w " * 9000, "a"), (5, "q", "ab")]
+    rows += [(10 + i, "same text here", "hot") for i in range(500)]
+    docs = spark.createDataFrame([(*r, 0, 1) for r in rows], "doc_id long, text string, source string, size int, skey int")
+    want, taken = check(docs, mixing.mix_sources(docs))
+    assert abs(taken["hot"] - want["hot"]) <= 3
+    assert mixing.mix_sources(docs.limit(0)).count() == 0
+    empty = docs.filter("doc_id in (1, 2)")
+    assert [r.taken for r in mixing.mix_sources(empty).collect()] == [0, 0]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_knapsack_reaches_the_best_sum(seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.unique(rng.integers(2, 30, 4))
+    counts = rng.integers(0, 4, len(lengths))
+    budget = int(rng.integers(0, 60))
+    got = mixing._knapsack(lengths, counts, budget)
+    assert (got <= counts).all()
+    sums = (sum(map(int.__mul__, n, lengths.tolist())) for n in itertools.product(*[range(c + 1) for c in counts.tolist()]))
+    assert (got * lengths).sum() == min(sums, key=lambda s: (abs(s - budget), s))
+
+
+def test_counts_come_near_a_large_budget():
+    lengths = np.arange(50, 9000, 7)
+    counts = np.full(len(lengths), 3)
+    total = int((lengths * counts).sum())
+    for budget in (1, 60, total // 3, total - 1, total):
+        taken = mixing.fit_counts(lengths, counts, budget, "k")
+        assert (taken <= counts).all() and abs(budget - int((taken * lengths).sum())) <= 25
