@@ -45,7 +45,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # runs of others. In a text of these characters only, lower-casing and this
 # pattern do the same, and each part can be encoded, and remembered, alone.
 PLAIN = re.compile("[\\x09\\x0a\\x0d\\x20-\\x7eÀ-ÖØ-öø-ÿ]*")
-PART = re.compile("[a-zà-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\x09\\x0a\\x0d\\x20a-zà-öø-ÿ0-9]+")
+PART = re.compile("[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\x09\\x0a\\x0d\\x20a-zß-öø-ÿ0-9]+")
 
 
 class Words:

@@ -4,10 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import mixing, packing, secret_scan
+from weir.llm import mixing, near_dups, packing, secret_scan, topk
 from weir.queries.tables import table
 
 
+OP7_SQL = """
+with v as (
+    select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as z
+    from embeddings
+    where vec_id is not null and embedding is not null
+      and list_bool_and(list_transform(embedding, x -> coalesce(isfinite(x), false)))
+), s as (
+    select q.vec_id as query_id, c.vec_id,
+        cast(list_sum(list_transform(list_zip(q.z, c.z), p -> p[1] * p[2])) as bigint) as score
+    from v q join v c on q.vec_id <> c.vec_id
+    where q.vec_id % 20 = 0
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score
+from s qualify rank <= 20
+"""
+
+
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_digest(table(spark, sf_dir, "documents"))
 
@@ -20,8 +41,14 @@ def op6_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
+
+
 REGISTRY = {
+    "op3_near_dups": (op3_near_dups, None),
     "op4_secret_scan": (op4_secret_scan, None),
     "op5_mix_sources": (op5_mix_sources, None),
     "op6_best_fit_pack": (op6_best_fit_pack, None),
+    "op7_exact_topk": (op7_exact_topk, OP7_SQL),
 }
