@@ -13,8 +13,17 @@ with equal sets form a class, and one member stands for it.
 3. Stars: in each bucket every class is compared with one centre, drawn anew
    per round, unless both are connected already. So a bucket of n copies costs n
    comparisons, not n squared.
-4. Rest: pairs of a bucket that are still in different components are all
-   compared, so no candidate goes without a comparison or a connection.
+4. Rest: classes in buckets that still span components. Bucket-mates form
+   clusters; a cluster's consensus C is the set of shingles that over half of
+   it holds, and D(a) is the symmetric difference of a and C. Two sets link when
+   |a ^ b| <= t (|a| + |b|) with t = (1 - s) / (1 + s), and |a ^ b| is
+   |D(a)| + |D(b)| - 2 |D(a) & D(b)|. Let e(a) = |D(a)| - t |a|. Pairs with
+   e(a) + e(b) <= 0 are both linked to the class of least e, so they need one
+   comparison each. All others link only if they share (e(a) + e(b)) / 2
+   differences. Differences are few, and most are held by one class alone and
+   left out; shared ones are counted block against block, ``BLOCK`` classes each,
+   and give the exact similarity. So thousands of copies of one text, alike or
+   not quite, neither make a row per pair nor lose a link.
 
 Links are confirmed on full sets of 64-bit shingle hashes. Components come from
 alternating large-star and small-star steps on tables in the scratch folder. A
@@ -32,6 +41,7 @@ from __future__ import annotations
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -42,7 +52,8 @@ from weir.llm.common import map_batches, written
 BITS = 4
 BANDS, ROWS = 20, 4
 LANES = 64 // BITS
-STARS = 3  # rounds with one centre per bucket before the rest is compared
+BLOCK = 1024  # classes of a cluster that a task counts against as many others
+STARS = 2  # rounds with one centre per bucket before the rest is compared
 SIGNATURES = "doc_id long, dkey long, n_shingles long, ckey long, packed array<long>, bands array<long>"
 
 
@@ -123,14 +134,25 @@ def _signatures(width: int, bands: int, rows: int, batch: pa.RecordBatch) -> dic
 
 def agreement(hashes: int) -> Column:
     """Estimated similarity from ``packed_a`` and ``packed_b``."""
-    folded = "x ^ y | shiftrightunsigned(x ^ y, 1)"
-    folded = f"(({folded}) | shiftrightunsigned({folded}, 2))"
-    ones = int("1" * LANES, 16)
-    differ = F.expr(f"aggregate(zip_with(packed_a, packed_b, (x, y) -> bit_count({folded} & {ones}L)), 0, (s, n) -> s + n)")
+    ones = F.lit(int("1" * LANES, 16))
+    differ = F.lit(0)
+    for i in range(-(-hashes // LANES)):
+        x = F.col("packed_a")[i].bitwiseXOR(F.col("packed_b")[i])
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        differ = differ + F.bit_count(x.bitwiseAND(ones))
     chance = 2.0**-BITS
     return (1 - differ / hashes - chance) / (1 - chance)
 
 
+def _shingle_rows(width: int, batch: pa.RecordBatch) -> dict:
+    known = WordHashes()
+    sets = [shingle_set(t, width, known) for t in batch.column("text").to_pylist()]
+    keys = np.repeat(batch.column("ckey").to_numpy(), [len(x) for x in sets])
+    hashes = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+    return {"ckey": pa.array(keys, pa.int64()), "shingle": pa.array(hashes, pa.int64())}
+
+
 def _estimated_least(similarity: float, hashes: int) -> float:
     agree = similarity + (1 - similarity) * 2.0**-BITS
     return similarity - 5 * (agree * (1 - agree) / hashes) ** 0.5 / (1 - 2.0**-BITS)
@@ -179,8 +201,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3, bands: i
     signed = written(map_batches(texts, partial(_signatures, width, bands, rows), SIGNATURES), "signatures")
     found = signed.filter("n_shingles > 0")
     classes = found.groupBy("ckey").agg(
-        F.min_by("dkey", F.struct("doc_id", "dkey")).alias("dkey"), F.first("packed").alias("packed"), F.first("bands").alias("bands")
-    )
+        F.min_by("dkey", F.struct("doc_id", "dkey")).alias("dkey"), F.first("packed").alias("packed"),
+        F.first("bands").alias("bands"), F.first("n_shingles").alias("n"),
+    )
     classes = written(classes, "classes")
     entries = classes.select("ckey", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
@@ -190,35 +213,35 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3, bands: i
 
     hashes = bands * rows
     bits = classes.select("ckey", "packed")
-    checked = links = None
+    likely = _estimated_least(percent / 100, hashes)
+    checked = None
 
     def compare(pairs: DataFrame) -> tuple[DataFrame, bool]:
-        """Confirm candidate pairs (a, b); remembers which were compared."""
-        nonlocal checked, links
-        pairs = pairs.join(bits.toDF("a", "packed_a"), "a").join(bits.toDF("b", "packed_b"), "b")
-        pairs = pairs.filter(agreement(hashes) >= _estimated_least(percent / 100, hashes)).select("a", "b")
+        """Components after confirming candidate pairs (a, b), and whether none was linked."""
+        nonlocal checked
         pairs = pairs if checked is None else pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         named = pairs.join(read.toDF("a", "text_a"), "a").join(read.toDF("b", "text_b"), "b")
         done = written(map_batches(named, partial(_confirm, width, percent), "a long, b long, linked boolean"), "compared")
         checked = done if checked is None else written(checked.union(done), "compared")
-        links = checked.filter("linked").select("a", "b")
-        return components(links), done.filter("linked").isEmpty()
+        return components(checked.filter("linked").select("a", "b")), done.filter("linked").isEmpty()
 
     grown = None
     for star in range(STARS):
         here = _with_roots(entries, grown)
-        order = F.struct(F.xxhash64(F.lit(star), "ckey").alias("h"), "ckey", "root")
+        order = F.struct(F.xxhash64(F.lit(star), "ckey", "bucket").alias("h"), "ckey", "root")
         centres = here.groupBy("bucket").agg(F.min(order).alias("c"), F.min("root").alias("r0"), F.max("root").alias("r1"))
         centres = centres.filter("r0 <> r1").select("bucket", F.col("c.ckey").alias("centre"), F.col("c.root").alias("own"))
         pairs = here.join(centres, "bucket").filter("root <> own").select(F.greatest("ckey", "centre").alias("a"), F.least("ckey", "centre").alias("b"))
-        grown, none = compare(pairs.distinct())
+        pairs = pairs.distinct().join(bits.toDF("a", "packed_a"), "a").join(bits.toDF("b", "packed_b"), "b")
+        grown, none = compare(pairs.filter(agreement(hashes) >= likely).select("a", "b"))
         if none:
             break
     here = _with_roots(entries, grown)
     open_buckets = here.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
-    here = here.join(open_buckets.select("bucket"), "bucket")
-    pairs = here.join(here.toDF("bucket", "other", "other_root"), "bucket").filter("root < other_root")
-    grown, _ = compare(pairs.select(F.greatest("ckey", "other").alias("a"), F.least("ckey", "other").alias("b")).distinct())
+    here = written(here.join(open_buckets.select("bucket"), "bucket"), "open-buckets")
+    rest = _rest_links(here, read, classes.select("ckey", "n"), width, percent)
+    links = rest if checked is None else rest.union(checked.filter("linked").select("a", "b"))
+    grown = components(links)
 
     out = _with_roots(signed.select("ckey", "doc_id", "n_shingles"), grown)
     alone = F.col("n_shingles") == 0
@@ -233,6 +256,74 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3, bands: i
     )
 
 
+def _rest_links(here: DataFrame, read: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) that connect everything that links within the clusters of ``here`` (bucket, ckey, root)."""
+    t = (100 - percent) / (100 + percent)
+    mates = here.join(here.groupBy("bucket").agg(F.min("ckey").alias("b")), "bucket").select(F.col("ckey").alias("a"), "b")
+    members = components(mates.filter("a <> b")).toDF("ckey", "cluster")
+    members = members.union(members.select("cluster", "cluster").distinct()).toDF("ckey", "cluster").distinct()
+    members = written(members.join(here.select("ckey", "root").distinct(), "ckey").join(sizes, "ckey"), "members")
+    counts = written(members.groupBy("cluster").agg(F.count("*").alias("size")), "clusters")
+    texts = read.join(members.select("ckey"), "ckey").dropDuplicates(["ckey"])
+    held = written(map_batches(texts, partial(_shingle_rows, width), "ckey long, shingle long"), "held")
+    held = held.join(members.select("ckey", "cluster"), "ckey")
+    often = held.groupBy("cluster", "shingle").agg(F.count("*").alias("f")).join(counts, "cluster")
+    often = written(often.withColumn("common", 2 * F.col("f") > F.col("size")), "shingle-counts")
+    common = often.filter("common")
+    extra = held.join(often.filter("not common"), ["cluster", "shingle"]).select("ckey", "cluster", "shingle", "f", F.lit(True).alias("has"))
+    lacking = (
+        members.select("ckey", "cluster")
+        .join(common, "cluster")
+        .join(held.select("ckey", "shingle"), ["ckey", "shingle"], "left_anti")
+        .select("ckey", "cluster", "shingle", (F.col("size") - F.col("f")).alias("f"), F.lit(False).alias("has"))
+    )
+    differ = written(extra.union(lacking), "differences")
+    excess = members.join(differ.groupBy("ckey").agg(F.count("*").alias("d")), "ckey", "left").na.fill(0, ["d"])
+    excess = written(excess.withColumn("e", F.col("d") - t * F.col("n")), "excess")
+    least = excess.groupBy("cluster").agg(F.min(F.struct("e", "ckey", "root")).alias("l"))
+    excess = excess.join(least, "cluster").join(counts, "cluster")
+    # by the bound itself, with a margin for rounding; those within the margin are counted below as well
+    near = excess.filter("e + l.e <= -1e-6 and root <> l.root").select("ckey", F.col("l.ckey").alias("b"))
+    excess = excess.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    excess = excess.withColumn("block", F.pmod(F.xxhash64("ckey"), "blocks").cast("int")).withColumn("far", F.expr("e + l.e > -1e-6"))
+    element = F.xxhash64("shingle", "has").alias("element")
+    shared = differ.filter("f > 1").groupBy("ckey").agg(F.collect_list(element).alias("elements"))
+    rows = excess.join(shared, "ckey").select("cluster", "block", "blocks", "far", "ckey", "root", "n", "d", "elements")
+    rows = written(rows, "blocks")
+    numbers = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    one = rows.filter("far").withColumn("other", numbers)
+    keys = ["cluster", "block", "other"]
+    names = {c: f"their_{c}" for c in ("ckey", "root", "n", "d", "elements")}
+    two = rows.select(
+        "cluster", F.col("block").alias("other"), numbers.alias("block"), *[F.col(c).alias(a) for c, a in names.items()]
+    )
+    met = one.groupBy(*keys).cogroup(two.groupBy(*keys)).applyInPandas(partial(_block_links, percent), "ckey long, b long")
+    return near.union(met).select(F.greatest("ckey", "b").alias("a"), F.least("ckey", "b").alias("b"))
+
+
+def _block_links(percent: int, far: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+    """Links of the classes of one block to those of another: one per class and component met."""
+    out: list[tuple[int, int]] = []
+    if len(far) and len(near):
+        elements = np.concatenate(near["their_elements"].to_list())
+        holders = np.repeat(np.arange(len(near)), near["their_elements"].map(len))
+        order = np.argsort(elements, kind="stable")
+        elements, holders = elements[order], holders[order]
+        n, d, roots, keys = (near[f"their_{c}"].to_numpy() for c in ("n", "d", "root", "ckey"))
+        for row in far.itertuples():
+            own = np.asarray(row.elements)
+            starts, ends = (np.searchsorted(elements, own, side) for side in ("left", "right"))
+            met = [holders[a:b] for a, b in zip(starts, ends) if b > a]
+            if not met:
+                continue
+            overlap = np.bincount(np.concatenate(met), minlength=len(n))
+            both = (n + row.n - (d + row.d - 2 * overlap)) // 2
+            fits = np.flatnonzero((overlap > 0) & (roots != row.root) & (100 * both >= percent * (n + row.n - both)))
+            _, first = np.unique(roots[fits], return_index=True)
+            out += [(row.ckey, keys[i]) for i in fits[first]]
+    return pd.DataFrame(out, columns=["ckey", "b"], dtype="int64")
+
+
 def _with_roots(rows: DataFrame, grown: DataFrame | None) -> DataFrame:
     """``rows`` (ckey, ...) with the root of their component."""
     if grown is None:
