@@ -23,6 +23,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
+from array import array
 from functools import partial
 
 import numpy as np
@@ -38,7 +39,7 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 BINS = 64
-KNOWN = 400_000  # words a task remembers at a time
+KNOWN = 300_000  # parts a task remembers at a time
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # The tokenizer splits at white space and then into letters, single digits and
@@ -48,39 +49,45 @@ PLAIN = re.compile("[\\x09\\x0a\\x0d\\x20-\\x7eÀ-ÖØ-öø-ÿ]*")
 PART = re.compile("[a-zß-öø-ÿ]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\\x09\\x0a\\x0d\\x20a-zß-öø-ÿ0-9]+")
 
 
+class Parts(dict):
+    """Token ids of the parts of plain text, as little-endian bytes; remembers what it gave."""
+
+    def __init__(self, model, limit: int = KNOWN):
+        super().__init__()
+        self.model, self.limit = model, limit
+        # bytes as the vocabulary spells them: printable ones as they are, others from 256 on
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = [b for b in range(256) if b not in shown]
+        self.spelling = {b: 256 + i for i, b in enumerate(rest)}
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) > self.limit:
+            self.clear()
+        spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.spelling)
+        ids = self[part] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return ids
+
+
 class Words:
-    """Token ids of texts, as little-endian bytes, remembering what words gave."""
+    """Token ids of texts, as little-endian bytes."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.parts = Parts(self.tokenizer.model)
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> bytes:
         if "<|" in text:  # a special token may be spelled out
             return self.whole(text)
         if PLAIN.fullmatch(text):
-            return self._join(PART.findall(text.lower()))
-        words = re.split("[ \\n]+", text)
-        plain = [PLAIN.fullmatch(w) for w in words]
-        return b"".join(
-            self._join(PART.findall(w.lower())) if p else self._join([w]) for w, p in zip(words, plain) if w
-        )
-
-    def _join(self, parts: list[str]) -> bytes:
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(known) > KNOWN:
-            known.clear()
-        new = list({p for p in parts if p not in known})
-        for part, encoded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[part] = np.array(encoded.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, parts))
+            return self._plain(text)
+        words = filter(None, re.split("[ \\n]+", text))
+        return b"".join(self._plain(w) if PLAIN.fullmatch(w) else self.whole(w) for w in words)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, PART.findall(text.lower())))
 
 
 def _pieces(words: list, path: str, capacity: int, batch: pa.RecordBatch) -> dict:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import langid, mixing, near_dups, packing, secret_scan, topk
+from weir.llm import html_text, langid, mixing, near_dups, packing, secret_scan, topk
 from weir.queries.tables import table
 
 
@@ -25,6 +25,10 @@ from s qualify rank <= 20
 """
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.fit_and_identify(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_html_text": (op1_html_text, None),
     "op2_language_id": (op2_language_id, None),
     "op3_near_dups": (op3_near_dups, None),
     "op4_secret_scan": (op4_secret_scan, None),
