@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import html_text, langid, mixing, near_dups, packing, secret_scan, topk
+from weir.llm import html_text, langid, mixing, near_dups, packing, pii, secret_scan, topk
 from weir.queries.tables import table
 
 
@@ -53,6 +53,10 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_digest(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_html_text": (op1_html_text, None),
     "op2_language_id": (op2_language_id, None),
@@ -61,4 +65,5 @@ REGISTRY = {
     "op5_mix_sources": (op5_mix_sources, None),
     "op6_best_fit_pack": (op6_best_fit_pack, None),
     "op7_exact_topk": (op7_exact_topk, OP7_SQL),
+    "op10_pii": (op10_pii, None),
 }
