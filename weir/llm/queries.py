@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import ann, html_text, langid, mixing, near_dups, packing, pii, secret_scan, topk
+from weir.llm import ann, html_text, langid, mixing, near_dups, packing, pii, repeats, secret_scan, topk
 from weir.queries.tables import table
 
 
@@ -53,6 +53,10 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", 5)
 
@@ -69,6 +73,7 @@ REGISTRY = {
     "op5_mix_sources": (op5_mix_sources, None),
     "op6_best_fit_pack": (op6_best_fit_pack, None),
     "op7_exact_topk": (op7_exact_topk, OP7_SQL),
+    "op8_repeats": (op8_repeats, None),
     "op9_ann": (op9_ann, None),
     "op10_pii": (op10_pii, None),
 }
