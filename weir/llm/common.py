@@ -60,3 +60,19 @@ def word_count(text: Column) -> Column:
 def text_key(value: Column) -> Column:
     """A string that is never NULL; NULL sorts after every value."""
     return F.when(value.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), value))
+
+
+def repeat_rows(df: DataFrame, key: Column, times: DataFrame) -> DataFrame:
+    """Each distinct row of ``df`` as often as ``times`` (key, times) says; rows without an entry go.
+
+    ``key`` must tell different rows apart. Equal rows are combined in every task.
+    """
+    rows = df.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    wanted = times.filter("times > 0").select("key", F.col("times").cast("int").alias("times"))
+    found = rows.dropDuplicates(["key"]).join(wanted, "key")
+    return found.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+
+
+def row_key(df: DataFrame) -> Column:
+    """A hash that tells rows apart, NULL columns from shifted ones included."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))

@@ -39,6 +39,7 @@ SAMPLE = 1500  # texts per language to learn from
 ROUNDS = 12
 PENALTY = 2.0
 SMOOTHING = 0.5
+LEAST = 0.5  # share that the main language of a kept document has at least
 
 
 @dataclass
@@ -220,3 +221,20 @@ def fit_and_identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Learn from the documents that are not held out, then predict all."""
     learn = docs.filter(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
     return identify(docs, fit(learn, sample))
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` whose language is certain enough; rows and columns stay as they are."""
+
+    def run(batches):
+        for batch in batches:
+            told = _predict(model, _with_blank(batch))
+            keep = np.array(told["lang_pred"].to_pylist(), object) != UNDETERMINED
+            yield batch.filter(pa.array(keep & (told["score"].to_numpy() >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _with_blank(batch: pa.RecordBatch) -> pa.RecordBatch:
+    blank = pa.nulls(batch.num_rows)
+    return pa.RecordBatch.from_arrays([blank, blank, batch.column("text")], ["doc_id", "held_out", "text"])

@@ -24,10 +24,10 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weir.llm.common import seeded, text_key, word_count, written
+from weir.llm.common import repeat_rows, row_key, seeded, text_key, word_count, written
 
 SEED = 17
 WINDOW = 1 << 15  # words that the dynamic program may close at most
@@ -126,9 +126,20 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarra
 
 def mix_sources(docs: DataFrame, seed: int = SEED, window: int = WINDOW) -> DataFrame:
     """Per row: doc_id, size, source_size, target (its source's) and the words taken."""
+    return _mixed(docs, F.col("doc_id"), seed, window).drop("key")
+
+
+def apply_mix(docs: DataFrame, seed: int = SEED, window: int = WINDOW) -> DataFrame:
+    """``docs`` with every row as often as the mix takes it."""
+    copies = _mixed(docs, row_key(docs), seed, window).groupBy("key").agg(F.sum("copies").alias("times"))
+    return repeat_rows(docs, row_key(docs), copies)
+
+
+def _mixed(docs: DataFrame, key: Column, seed: int, window: int) -> DataFrame:
     rows = written(
         docs.select(
             "doc_id",
+            key.alias("key"),
             text_key(F.col("source")).alias("skey"),
             word_count(F.col("text")).alias("size"),
             seeded(seed, F.col("doc_id")).alias("h"),
@@ -168,9 +179,10 @@ def mix_sources(docs: DataFrame, seed: int = SEED, window: int = WINDOW) -> Data
     rank = F.row_number().over(Window.partitionBy("skey", "size", "bin").orderBy("h", "doc_id"))
     cut = joined.filter("quota > 0 and quota < n").withColumn("extra", (rank <= F.col("quota")).cast("long"))
     plain = joined.filter("quota = 0 or quota = n").withColumn("extra", (F.col("quota") > 0).cast("long"))
-    picked = plain.unionByName(cut).select("doc_id", "skey", "size", "extra")
+    picked = plain.unionByName(cut).select("doc_id", "key", "skey", "size", "extra")
     return picked.join(targets, "skey").select(
         "doc_id",
+        "key",
         "size",
         "source_size",
         "target",

@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import map_batches, written
+from weir.llm.common import map_batches, repeat_rows, written
 
 BITS = 4
 BANDS, ROWS = 20, 4
@@ -197,6 +197,33 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3, bands: i
     Documents are linked when 100 * intersection >= ``percent`` * union. ``class_id``
     names the class of equal sets; ``kept`` holds when the id is the component's.
     """
+    out = _labelled(docs, percent, width, bands, rows)
+    alone = F.col("n_shingles") == 0
+    smallest = out.filter(~alone).groupBy("root").agg(F.min("doc_id").alias("least"))
+    out = out.join(smallest, "root", "left").withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("least")))
+    return out.select(
+        "doc_id",
+        "n_shingles",
+        "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+        F.when(~alone, F.col("ckey")).alias("class_id"),
+    )
+
+
+def deduplicate(docs: DataFrame, percent: int = 85, width: int = 3, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id; texts without shingles all stay.
+
+    Ties of repeated ids go to the smaller hash of the text.
+    """
+    out = _labelled(docs, percent, width, bands, rows)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "dkey")).alias("first")
+    winners = out.filter("n_shingles > 0").groupBy("root").agg(first).select(F.col("first.dkey").alias("key"), F.lit(1).alias("times"))
+    empty = out.filter("n_shingles = 0").groupBy(F.col("dkey").alias("key")).agg(F.count("*").cast("int").alias("times"))
+    return repeat_rows(docs, F.xxhash64("doc_id", "text"), winners.union(empty))
+
+
+def _labelled(docs: DataFrame, percent: int, width: int, bands: int, rows: int) -> DataFrame:
+    """Per row: doc_id, dkey, n_shingles, its class and the root of its component."""
     texts = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("dkey"))
     signed = written(map_batches(texts, partial(_signatures, width, bands, rows), SIGNATURES), "signatures")
     found = signed.filter("n_shingles > 0")
@@ -243,17 +270,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3, bands: i
     links = rest if checked is None else rest.union(checked.filter("linked").select("a", "b"))
     grown = components(links)
 
-    out = _with_roots(signed.select("ckey", "doc_id", "n_shingles"), grown)
-    alone = F.col("n_shingles") == 0
-    smallest = out.filter(~alone).groupBy("root").agg(F.min("doc_id").alias("least"))
-    out = out.join(smallest, "root", "left").withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("least")))
-    return out.select(
-        "doc_id",
-        "n_shingles",
-        "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-        F.when(~alone, F.col("ckey")).alias("class_id"),
-    )
+    return _with_roots(signed.select("ckey", "doc_id", "dkey", "n_shingles"), grown)
 
 
 def _rest_links(here: DataFrame, read: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
