@@ -156,3 +156,38 @@ def test_an_exploded_frame_is_never_broadcast(spark, tmp_path):
     spark.range(10).selectExpr("id as k", "sequence(0, 1000) as xs").write.parquet(path)
     wide = spark.read.parquet(path).selectExpr("k", "explode(xs) as x")
     assert broadcast_if_small(wide) is wide
+
+
+CHAIN = {"a": [(1, "a1"), (2, "a2"), (None, "an")], "b": [(2, "b2"), (5, "b5"), (5, "b5x")], "c": [(5, "c5"), (1, "c1"), (None, "cn")]}
+SQL_KIND = {"inner": "inner join", "left": "left join", "right": "right join", "full": "full join"}
+
+
+@pytest.mark.parametrize("how", SQL_KIND)
+@pytest.mark.parametrize("second", ["a.k = c.k", "b.k = c.k"])
+@pytest.mark.parametrize("hot", [False, True])
+def test_three_frames_on_one_key_follow_sql(spark, how, second, hot):
+    frames = {n: spark.createDataFrame(r, f"k int, {n}v string") for n, r in CHAIN.items()}
+    for name, frame in frames.items():
+        frame.createOrReplaceTempView(name)
+    want = spark.sql(
+        f"select {'coalesce(a.k, b.k, c.k)' if how in ('right', 'full') else 'a.k'} as k, av, bv, cv"
+        f" from a {SQL_KIND[how]} b on a.k = b.k {SQL_KIND[how]} c on {second}"
+    )
+    got = join_frames(frames, ["a.k = b.k", second], how, hot_keys=hot)
+    assert got.columns == ["k", "av", "bv", "cv"] and rows(got) == rows(want)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_equal_column_names_survive_both_ways(spark, how):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, note string")
+    b = spark.createDataFrame([(2, "z"), (3, "w")], "k int, note string")
+    plain = join_frames({"a": a, "b": b}, ["a.k = b.k"], how)
+    split = join_frames({"a": a, "b": b}, ["a.k = b.k"], how, hot_keys=True)
+    assert plain.columns == split.columns == ["k", "note", "note"] and rows(plain) == rows(split)
+    assert rows(join_using([a, b], "k", how, hot_keys=True)) == rows(join_using([a, b], "k", how))
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_semi_chain_names_a_frame_that_is_gone(spark, hot):
+    a, b, c = (spark.createDataFrame([(i,) for i in ids], "k int") for ids in ((1, 2, 3), (2, 3), (3, 4)))
+    assert rows(join_frames({"a": a, "b": b, "c": c}, ["a.k = b.k", "b.k = c.k"], "semi", hot_keys=hot)) == [(3,)]

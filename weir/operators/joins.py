@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -83,9 +83,11 @@ def join_frames(
     When a whole condition is ``a.k = b.k`` the result keeps one ``k``. For
     right and full joins it holds whichever side is not NULL; with
     ``key_policy="left"`` it stays the left value, NULL for right-only rows.
+    A later condition may still name a key that the result keeps only once.
     Conditions may be any predicate, but one without an equality pairs every
     row with every row, so give one wherever the data is large. ``hot_keys``
-    needs conditions of the form ``a.k = b.k``; see :func:`join_using`.
+    gives the same rows; it needs conditions of the form ``a.k = b.k`` and
+    reads each input up to three times. See :func:`join_using`.
     """
     if key_policy not in ("coalesce", "left"):
         raise ValueError("key_policy is 'coalesce' or 'left'")
@@ -98,27 +100,50 @@ def join_frames(
     if len(set(names)) != len(names):
         raise ValueError("give each frame its own name; a self join uses two names")
     kind = join_type(how)
-    if hot_keys:
-        return _fold_in_parts(named, conditions, kind)
+    step_kind = "inner" if kind == "cross" else kind  # a cross join filtered by its condition
+    filtering = kind in ("left_semi", "left_anti")
     small = set(broadcast)
-    late_keys = kind in ("right", "full") and key_policy == "coalesce"
 
-    result = named[0][1].alias(names[0])
+    def flat(name: str, frame: DataFrame) -> DataFrame:
+        """The frame under names that no other frame has."""
+        return frame.select(*[F.col(f"`{c}`").alias(_flat(name, c)) for c in frame.columns])
+
+    result = flat(*named[0]) if hot_keys else named[0][1].alias(names[0])
     merged: dict[tuple[str, str], tuple[str, str]] = {}
     for (name, frame), condition in zip(named[1:], conditions):
-        right = broadcast_if_small(frame, broadcast_limit) if name in small else frame
-        on = F.expr(condition)
-        # A cross join filtered by its condition is an inner join on it.
-        result = result.join(right.alias(name), on, "inner" if kind == "cross" else kind)
         shared = _shared_key(condition, name)
-        if shared is None or kind in ("left_semi", "left_anti"):
-            continue
-        if late_keys:
-            other, key = shared
-            merged[(name, key)] = merged.get((other, key), (other, key))
+        if shared and filtering and shared in merged:  # that frame is gone; its key is the kept one
+            shared = merged[shared]
+            condition = f"`{shared[0]}`.`{shared[1]}` = `{name}`.`{shared[1]}`"
+        if hot_keys:
+            if shared is None:
+                raise ValueError(f"hot_keys needs conditions like a.k = b.k, not {condition!r}")
+            keys = _flat(*shared), _flat(name, shared[1])
+            result = _join_in_parts(result, flat(name, frame), *([key] for key in keys), step_kind)
         else:
-            result = result.drop(_qualified(name, shared[1]))
-    return _with_merged_keys(result, named, merged) if merged else result
+            right = broadcast_if_small(frame, broadcast_limit) if name in small else frame
+            if shared:  # so that the bare key still means the first one
+                right = right.withColumnRenamed(shared[1], _flat(name, shared[1]))
+            for own in [*merged, *([(name, shared[1])] if shared else [])]:
+                spelled = rf"(?<![\w`.])`?{own[0]}`?\.`?{own[1]}(?:`|(?!\w))"
+                condition = re.sub(spelled, f"`{own[0]}`.`{_flat(*own)}`", condition)
+            result = result.join(right.alias(name), F.expr(condition), step_kind)
+        if shared:
+            merged[(name, shared[1])] = merged.get(shared, shared)
+    late = kind in ("right", "full") and key_policy == "coalesce"
+    kept = named[:1] if filtering else named
+
+
+    def column(name: str, c: str) -> Column:
+        if hot_keys:
+            return F.col(f"`{_flat(name, c)}`").alias(c)
+        return _qualified(name, _flat(name, c) if (name, c) in merged else c)
+
+    return result.select(*_with_merged_keys(kept, merged, late, column))
+
+
+def _flat(frame: str, column: str) -> str:
+    return f"{frame}:{column}"
 
 
 def join_using(
@@ -145,7 +170,7 @@ def join_using(
     def step(left: DataFrame, right: DataFrame) -> DataFrame:
         step_kind = "inner" if kind == "cross" else kind
         if hot_keys:
-            return _join_in_parts(left, right, keys, step_kind)
+            return _join_using_in_parts(left, right, keys, step_kind)
         if broadcast:
             right = broadcast_if_small(right, broadcast_limit)
         return left.join(right, keys, step_kind)
@@ -153,27 +178,40 @@ def join_using(
     return reduce(step, frames)
 
 
-def _join_in_parts(left: DataFrame, right: DataFrame, keys: list[str], kind: str) -> DataFrame:
+def _join_using_in_parts(left: DataFrame, right: DataFrame, keys: list[str], kind: str) -> DataFrame:
     if kind in ("left_semi", "left_anti"):
         return left.join(right.select(*keys).distinct(), keys, kind)
-    parts = [left.join(right, keys, "inner")]
+    # by position, as a plain join does, so that both sides may have a column of the same name
+    ours, theirs = ([f"{side}{i}" for i in range(len(df.columns))] for side, df in (("l", left), ("r", right)))
+    on = [[names[df.columns.index(key)] for key in keys] for names, df in ((ours, left), (theirs, right))]
+    joined = _join_in_parts(left.toDF(*ours), right.toDF(*theirs), *on, kind)
+    columns = [F.coalesce(a, b).alias(key) for key, a, b in zip(keys, *on)]
+    for names, df in ((ours, left), (theirs, right)):
+        columns += [F.col(name).alias(c) for name, c in zip(names, df.columns) if c not in keys]
+    return joined.select(*columns)
+
+
+def _join_in_parts(
+    left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], kind: str
+) -> DataFrame:
+    """Join frames without a common column name: an inner join, and the rows without a partner."""
+
+    def matched(a: DataFrame, b: DataFrame, a_keys: list[str], b_keys: list[str], how: str) -> DataFrame:
+        return a.join(b, [F.col(f"`{x}`") == F.col(f"`{y}`") for x, y in zip(a_keys, b_keys)], how)
+
+    def distinct(df: DataFrame, keys: list[str]) -> DataFrame:
+        return df.select(*[F.col(f"`{key}`") for key in keys]).distinct()
+
+    if kind in ("left_semi", "left_anti"):
+        return matched(left, distinct(right, right_keys), left_keys, right_keys, kind)
+    parts = [matched(left, right, left_keys, right_keys, "inner")]
     if kind in ("left", "full"):
-        parts.append(left.join(right.select(*keys).distinct(), keys, "left_anti"))
+        parts.append(matched(left, distinct(right, right_keys), left_keys, right_keys, "left_anti"))
     if kind in ("right", "full"):
-        parts.append(right.join(left.select(*keys).distinct(), keys, "left_anti"))
+        parts.append(matched(right, distinct(left, left_keys), right_keys, left_keys, "left_anti"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _fold_in_parts(named: list[tuple[str, DataFrame]], conditions: Sequence[str], kind: str) -> DataFrame:
-    result = named[0][1]
-    for (name, frame), condition in zip(named[1:], conditions):
-        shared = _shared_key(condition, name)
-        if shared is None:
-            raise ValueError(f"hot_keys needs conditions like a.k = b.k, not {condition!r}")
-        result = _join_in_parts(result, frame, [shared[1]], "inner" if kind == "cross" else kind)
-    return result
-
-
 def _qualified(frame: str, column: str) -> Column:
     return F.col(f"`{frame}`.`{column}`")
 
@@ -192,18 +230,20 @@ def _shared_key(condition: str, right: str) -> tuple[str, str] | None:
 
 
 def _with_merged_keys(
-    joined: DataFrame,
     named: list[tuple[str, DataFrame]],
     merged: dict[tuple[str, str], tuple[str, str]],
-) -> DataFrame:
+    coalesce: bool,
+    value_of: Callable[[str, str], Column],
+) -> list[Column]:
+    """All columns of the frames in order, each merged key once."""
     columns = []
     for name, frame in named:
         for column in frame.columns:
             if (name, column) in merged:
                 continue
             copies = [own for own, kept in merged.items() if kept == (name, column)]
-            value = _qualified(name, column)
-            if copies:
-                value = F.coalesce(value, *[_qualified(*copy) for copy in copies]).alias(column)
+            value = value_of(name, column)
+            if copies and coalesce:
+                value = F.coalesce(value, *[value_of(*copy) for copy in copies]).alias(column)
             columns.append(value)
-    return joined.select(*columns)
+    return columns

@@ -18,14 +18,28 @@ def pivot(
     aggregate_column: str | None = None,
     agg: str = "sum",
     values: Sequence[Any] | None = None,
+    rest: str | None = None,
 ) -> DataFrame:
     """Turn the values of ``pivot_column`` into columns.
 
     Without ``aggregate_column`` each cell counts rows. Empty cells are NULL.
     Naming the ``values`` fixes the result columns and saves the extra job
-    that looks them up.
+    that looks them up. Rows with another value, or NULL, are then counted in
+    the column ``rest``; without one such a row is an error, not a silent loss.
     """
-    grouped = df.groupBy(*group_by).pivot(pivot_column, list(values) if values else None)
+    given = list(values) if values else None
+    if given:
+        listed = F.coalesce(F.col(pivot_column).isin(given), F.lit(False))
+        text = F.col(pivot_column).cast("string")
+        if rest is None:
+            message = F.concat(F.lit(f"{pivot_column} has a value that is not listed: "), F.coalesce(text, F.lit("NULL")))
+            unlisted = F.raise_error(message).cast("string")
+        else:
+            unlisted = F.lit(rest)
+        df = df.withColumn(pivot_column, F.when(listed, text).otherwise(unlisted))
+        given = [F.lit(value).cast("string") for value in given] + ([F.lit(rest)] if rest else [])
+        given = [row[0] for row in _literals(df, given)]
+    grouped = df.groupBy(*group_by).pivot(pivot_column, given)
     if aggregate_column is None:
         return grouped.agg(F.count(F.lit(1)))
     if agg.lower() not in NAMED_FUNCTIONS:
