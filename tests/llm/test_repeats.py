@@ -57,6 +57,7 @@ def test_passages_copies_and_odd_rows(spark, seed):
     rng.shuffle(rows)
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, th int, pos int")
     assert got(R.remove_repeats(docs)) == brute(rows)
+    assert got(R.remove_repeats(docs, shard=2)) == brute(rows)  # anchors of many shards
     assert R.remove_repeats(docs.limit(0)).count() == 0
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from weir.scratch import scratch_path
 
+SCRATCH = "_scratch_path"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -18,7 +20,22 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.__dict__[SCRATCH] = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that :func:`written` made and nothing reads any more, and let its shuffle files go.
+
+    Shuffle files of finished steps stay until the driver's JVM collects the
+    plans; they can be as large as the input, so it is asked to.
+    """
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(table.__dict__[SCRATCH])
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    context._jvm.System.gc()
 
 
 def map_batches(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:

@@ -14,14 +14,15 @@ every byte:
   Repetitive text has long runs.
 * Matching statistics. Occurrences are streamed against the runs. Any but the
   sample of its run matches an earlier place with its whole surroundings. The
-  samples of anchors with several runs match in part: their own strings, each
-  keyed by anchor and content, are compared one by one. These are few: passages
-  that end differently, not passages.
+  samples of anchors with several runs match in part: they are brought together
+  by anchor, at most about ``SHARD`` in a task, and their strings are met in the
+  order of places. Only an anchor with more runs than that sends the strings
+  that a shard met first on to be compared across shards.
 
-Every step is an aggregate combined in each task, or a join whose larger side may
-be split, so a passage in a third of all documents is no hot spot; no step holds
-more than one document. Keys are two 64-bit hashes, of the anchor and of its
-surroundings or the string.
+Every step is an aggregate combined in each task, a join whose larger side may be
+split, or a sweep over bounded shards, so a passage in a third of all documents is
+no hot spot. Keys are two 64-bit hashes, of the anchor and of its surroundings or
+the string; within a shard the bytes themselves are compared.
 
 Text is UTF-8 bytes; NULL and empty texts have none and lose none. Documents with
 equal ids come in order of a hash of their text; NULL ids come last. Of rows equal
@@ -30,8 +31,8 @@ in id and text all but one repeat it whole. Other columns are ignored.
 
 from __future__ import annotations
 
-import gc
 import hashlib
+from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
@@ -40,12 +41,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import map_batches, written
+from weir.llm.common import discard, map_batches, written
 
 LENGTH = 100
 GRAM = 32
 CHUNK = 1 << 19  # bytes hashed at a time; longer documents are a chunk of their own
 LAST = (1 << 63) - 1
+SHARD = 4096  # samples of one anchor that a task meets
+AROUND = "gram long, doc long, th long, pos long, left int, around binary"
 FOUND = "doc long, th long, pos long, upto int, gram long, around long"
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -137,23 +140,54 @@ def _index(length: int, batch: pa.RecordBatch) -> dict:
     return {n: pa.array(c, pa.int32() if n == "upto" else pa.int64()) for n, c in zip(names, joined)}
 
 
-def _strings(length: int, batch: pa.RecordBatch) -> dict:
-    """The strings of a document whose anchor is among the given places."""
-    out: dict[str, list] = {"doc": [], "th": [], "pos": [], "gram": [], "string": []}
-    digest = xxhash.xxh3_64_intdigest
+def _surroundings(length: int, batch: pa.RecordBatch) -> dict:
+    """The bytes around given anchors, as far as a string can reach."""
+    out: dict[str, list] = {"gram": [], "doc": [], "th": [], "pos": [], "left": [], "around": []}
+    reach = length - GRAM
     for doc, th, text, wanted in zip(batch.column("doc").to_pylist(), batch.column("th").to_pylist(), _encoded(batch), batch.column("wanted").to_pylist()):
-        data = np.frombuffer(text, np.uint8)
-        _, grams, least = anchors(data, np.full(len(data), len(data)), length)
-        places = np.array(sorted(wanted))
-        starts = places[:, None] - np.arange(length - GRAM + 1)[None, :]
-        inside = (starts >= 0) & (least[np.maximum(starts, 0)] == grams[places][:, None])
-        pairs = {s: g for s, g in zip(starts[inside].tolist(), np.repeat(grams[places], inside.sum(axis=1)).view(np.int64).tolist())}
-        out["doc"] += [doc] * len(pairs)
-        out["th"] += [th] * len(pairs)
-        out["pos"] += list(pairs)
-        out["gram"] += list(pairs.values())
-        out["string"] += [digest(text[s : s + length]) - (1 << 63) for s in pairs]
-    return {n: pa.array(v, pa.int64()) for n, v in out.items()}
+        for anchor in wanted:
+            pos = anchor["pos"]
+            start = max(pos - reach, 0)
+            for name, value in zip(out, (anchor["gram"], doc, th, pos, pos - start, text[start : pos + GRAM + reach])):
+                out[name].append(value)
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return {name: pa.array(values, kind) for (name, values), kind in zip(out.items(), kinds)}
+
+
+def _sweep(length: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Meet the strings of each (gram, shard) in the order of places.
+
+    Rows come sorted. Gives the places that repeat an earlier one as (doc, th, a,
+    b), and where a gram has several shards the first of each string as well,
+    with its hash.
+    """
+    digest = xxhash.xxh3_64_intdigest
+    group, seen = None, {}
+    for batch in batches:
+        out: list[tuple] = []
+        columns = (batch.column(c).to_pylist() for c in ("gram", "shard", "shards", "doc", "th", "pos", "left", "around"))
+        for gram, shard, shards, doc, th, pos, left, around in zip(*columns):
+            if group != (gram, shard):
+                group, seen = (gram, shard), {}
+            start = pos - left
+            a = b = None
+            for i in range(min(left, len(around) - length) + 1):
+                string = around[i : i + length]
+                here = (doc, th, start + i)
+                first = seen.setdefault(string, here)
+                if first is not here and first != here:  # in periodic text anchors of a place overlap
+                    if b is None or start + i > b:
+                        if b is not None:
+                            out.append((doc, th, a, b, None, None))
+                        a = start + i
+                    b = start + i + length
+                elif shards > 1 and first is here:
+                    out.append((doc, th, start + i, start + i + length, gram, digest(string) - (1 << 63)))
+            if b is not None:
+                out.append((doc, th, a, b, None, None))
+        columns = list(zip(*out)) or [()] * 6
+        names = ["doc", "th", "a", "b", "gram", "string"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
 
 def removed_bytes(size: int, spans) -> np.ndarray:
@@ -176,13 +210,7 @@ def _remove(batch: pa.RecordBatch) -> dict:
     return {c: batch.column(c) for c in ("doc_id", "doc", "th")} | {n: pa.array(v) for n, v in out.items()}
 
 
-def _let_go(df: DataFrame) -> None:
-    """Shuffle files of finished steps go once the driver drops their plans; they can be as large as the input."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """(doc, th, starts, ends): the places of each document that earlier ones, or earlier parts, repeat.
 
     ``docs`` has (doc, th, text), with (doc, th) unique and the order of documents.
@@ -190,33 +218,42 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     place = F.struct("doc", "th", "pos")
     found = written(map_batches(docs.select("doc", "th", "text"), partial(_index, length), FOUND), "anchors")
     often = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    found = written(found.join(often, "gram", "left_semi"), "repeated-anchors")
-    _let_go(docs)
+    anchored, found = found, written(found.join(often, "gram", "left_semi"), "repeated-anchors")
+    discard(anchored)
     runs = written(found.groupBy("gram", "around").agg(F.min(place).alias("sample")), "runs")
     whole = found.join(runs, ["gram", "around"]).filter(place != F.col("sample"))
     reach = length - GRAM
     whole = whole.select("doc", "th", F.greatest(F.col("pos") - reach, F.lit(0)).alias("a"), (F.col("pos") + F.col("upto")).alias("b"))
-    whole = whole.filter(F.col("b") - F.col("a") >= length)
-
-    several = runs.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
-    cut = runs.join(several, "gram", "left_semi").select("sample.*")
-    cut = written(cut.groupBy("doc", "th").agg(F.collect_list("pos").alias("wanted")), "cut-anchors")
-    strings = map_batches(docs.select("doc", "th", "text").join(cut, ["doc", "th"]), partial(_strings, length), "doc long, th long, pos long, gram long, string long")
-    strings = written(strings, "cut-strings")
-    _let_go(docs)
-    earliest = strings.groupBy("gram", "string").agg(F.min(place).alias("sample"), F.count("*").alias("n")).filter("n > 1")
-    part = strings.join(earliest, ["gram", "string"]).filter(place != F.col("sample"))
-    part = part.select("doc", "th", F.col("pos").alias("a"), (F.col("pos") + length).alias("b"))
+    whole = written(whole.filter(F.col("b") - F.col("a") >= length), "whole-matches")
+    discard(found)
+
+    several = runs.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1")
+    several = written(several.withColumn("shards", F.ceil(F.col("n") / shard).cast("int")).drop("n"), "cut-grams")
+    cut = runs.join(several, "gram", "left_semi").select("gram", "sample.*")
+    cut = cut.groupBy("doc", "th").agg(F.collect_list(F.struct("gram", "pos")).alias("wanted"))
+    around = map_batches(docs.select("doc", "th", "text").join(cut, ["doc", "th"]), partial(_surroundings, length), AROUND)
+    sharded = around.join(several, "gram").withColumn("shard", F.pmod(F.xxhash64("doc", "th", "pos"), "shards"))
+    key = ["gram", "shard"]
+    sorted_rows = sharded.repartition(*key).sortWithinPartitions(*key, "doc", "th", "pos")
+    met = sorted_rows.mapInArrow(partial(_sweep, length), "doc long, th long, a long, b long, gram long, string long")
+    met = written(met, "cut-matches")
+    discard(runs)
+    place = F.struct("doc", "th", "a")
+    firsts = met.filter("gram is not null")
+    earliest = firsts.groupBy("gram", "string").agg(F.min(place).alias("sample"))
+    across = firsts.join(earliest, ["gram", "string"]).filter(place != F.col("sample"))
+    part = met.filter("gram is null").select("doc", "th", "a", "b").union(across.select("doc", "th", "a", "b"))
     spans = whole.union(part).groupBy("doc", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     spans = written(spans.select("doc", "th", F.col("spans.a").alias("starts"), F.col("spans.b").alias("ends")), "repeated-spans")
-    _let_go(docs)
+    discard(whole)
+    discard(met)
     return spans
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and kept_sha256."""
     rows = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), F.xxhash64("text").alias("th"), "text")
-    spans = repeated_spans(rows, length)
+    spans = repeated_spans(rows, length, shard)
     schema = "doc_id long, doc long, th long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     out = map_batches(rows.join(spans, ["doc", "th"], "left"), _remove, schema)
     # rows equal in id and text: the first keeps what it has, the others repeat it
