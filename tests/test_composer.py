@@ -17,11 +17,11 @@ def spec(*steps, mode="batch"):
 
 
 @pytest.fixture
-def users(spark, tmp_path):
-    path = str(tmp_path / "users")
+def pumps(spark, tmp_path):
+    path = str(tmp_path / "pumps")
     spark.createDataFrame(
-        [(1, "Ann", 34, "active"), (2, "Bo", 17, "active"), (3, "Cy", 51, "gone"), (4, "Di", 28, "active")],
-        "user_id int, name string, age int, status string",
+        [(1, "lock", 340, "on"), (2, "ford", 90, "on"), (3, "dam", 510, "idle"), (4, "mole", 280, "on"), (5, "quay", 300, "idle")],
+        "pump_id int, site string, flow int, state string",
     ).write.parquet(path)
     return path
 
@@ -30,158 +30,158 @@ def s3(path, **more):
     return {"bucket": "", "path": path, "scheme": "file", **more}
 
 
-def test_extract_transform_validate_load(spark, users, tmp_path):
+def test_extract_transform_validate_load(spark, pumps, tmp_path):
     out = str(tmp_path / "out")
     run = run_steps(
         spark,
         json.loads(json.dumps(spec(
-            step("extract", "fromS3", **s3(users, registerAs="users")),
-            step("transform", "filterRows", condition="status = 'active'"),
-            step("transform", "enrichData", columns={"is_adult": "age >= 18"}),
-            step("validate", "validateNulls", notNullColumns=["user_id"]),
-            step("validate", "validateRanges", ranges={"age": {"min": 0, "max": 120}}),
-            step("validate", "validateBusinessRules", rules=["age > 0"]),
-            step("transform", "filterRows", condition="is_adult"),
-            step("load", "toS3", **s3(out, mode="overwrite", compression="gzip", partitionBy="status")),
+            step("extract", "fromS3", **s3(pumps, registerAs="pumps")),
+            step("transform", "filterRows", condition="state = 'on'"),
+            step("transform", "enrichData", columns={"strong": "flow >= 200"}),
+            step("validate", "validateNulls", notNullColumns=["pump_id"]),
+            step("validate", "validateRanges", ranges={"flow": {"min": 1, "max": 600}}),
+            step("validate", "validateBusinessRules", rules=["site <> ''"]),
+            step("transform", "filterRows", condition="strong"),
+            step("load", "toS3", **s3(out, mode="overwrite", compression="gzip", partitionBy="state")),
             step("load", "toS3", **s3(out + "-json", format="json")),
         ))),
     )
-    assert rows(spark.read.parquet(out).select("user_id", "is_adult")) == [(1, True), (4, True)]
+    assert rows(spark.read.parquet(out).select("pump_id", "strong")) == [(1, True), (4, True)]
     assert spark.read.json(out + "-json").count() == 2
-    assert os.path.isdir(f"{out}/status=active")
+    assert os.path.isdir(f"{out}/state=on")
     loads = [m for m in run.metrics if m["type"] == "load"]
     assert [m["records"] for m in loads] == [2, 2]
     assert [m["step"] for m in run.metrics] == list(range(9))
-    assert run.frames["users"].count() == 4
+    assert run.frames["pumps"].count() == 5
 
 
-def test_table_folders_and_empty_loads(spark, users, tmp_path):
+def test_table_folders_and_empty_loads(spark, pumps, tmp_path):
     out = str(tmp_path / "table")
-    load = step("load", "toDeltaLake", path=out, tableFormat="parquet", partitionBy=["status"])
-    empty = step("transform", "filterRows", condition="age > 1000")
-    grouped = step("transform", "aggregateData", groupBy=["status"], aggregations={"age": "max"})
+    load = step("load", "toDeltaLake", path=out, tableFormat="parquet", partitionBy=["state"])
+    empty = step("transform", "filterRows", condition="flow > 10000")
+    grouped = step("transform", "aggregateData", groupBy=["state"], aggregations={"flow": "max"})
     again = step("extract", "fromDeltaLake", path=out, tableFormat="parquet")
-    first = step("extract", "fromS3", **s3(users))
+    first = step("extract", "fromS3", **s3(pumps))
     run = run_steps(spark, spec(first, load, again, grouped))
-    assert rows(run.current()) == [("active", 34), ("gone", 51)]
+    assert rows(run.current()) == [("idle", 510), ("on", 340)]
     run = run_steps(spark, spec(first, empty, load, grouped, load))
     assert [m["records"] for m in run.metrics if m["type"] == "load"] == [0, 0]
     skipped = step("load", "toS3", **s3(out, mode="ignore"))
     assert run_steps(spark, spec(first, skipped)).metrics[-1]["records"] is None
 
 
-def test_neighbouring_checks_fail_together(spark, users):
+def test_neighbouring_checks_fail_together(spark, pumps):
     with pytest.raises(ValidationFailed) as error:
         run_steps(
             spark,
             spec(
-                step("extract", "fromS3", **s3(users)),
-                step("validate", "validateRanges", ranges={"age": [18, 50]}),
-                step("validate", "validateBusinessRules", rules=["status = 'active'"]),
+                step("extract", "fromS3", **s3(pumps)),
+                step("validate", "validateRanges", ranges={"flow": [100, 500]}),
+                step("validate", "validateBusinessRules", rules=["state = 'on'"]),
             ),
         )
-    assert [f["violations"] for f in error.value.failures] == [1, 1, 1]
+    assert [f["violations"] for f in error.value.failures] == [1, 1, 2]
 
 
-def test_violations_can_filter_instead(spark, users):
+def test_violations_can_filter_instead(spark, pumps):
     run = run_steps(
         spark,
         spec(
-            step("extract", "fromS3", **s3(users)),
-            step("validate", "validateRanges", ranges={"age": [18, 50]}, onViolation="filter"),
+            step("extract", "fromS3", **s3(pumps)),
+            step("validate", "validateRanges", ranges={"flow": [100, 500]}, onViolation="filter"),
         ),
     )
-    assert rows(run.current().select("user_id")) == [(1,), (4,)]
+    assert rows(run.current().select("pump_id")) == [(1,), (4,), (5,)]
 
 
-def test_joins_unions_and_the_registry(spark, people):
-    orders = spark.createDataFrame([(1, 9.0), (1, 1.0), (3, 5.0)], "id int, amount double")
-    frames = {"people": people, "orders": orders}
+def test_joins_unions_and_the_registry(spark, wells):
+    orders = spark.createDataFrame([(1, 4.5), (1, 0.5), (3, 8.0)], "id int, amount double")
+    frames = {"wells": wells, "orders": orders}
     by_condition = step(
-        "transform", "joinDataFrames", inputDataFrames=["people", "orders"],
-        joinConditions=["people.id = orders.id"], registerAs="both",
+        "transform", "joinDataFrames", inputDataFrames=["wells", "orders"],
+        joinConditions=["wells.id = orders.id"], registerAs="both",
     )
-    by_column = step("transform", "joinDataFrames", inputDataFrames=["people", "orders"], joinColumn="id", broadcast=True)
-    by_key = step("transform", "joinDataFrames", inputDataFrames=["people", "orders"], joinKey="id", joinType="left")
-    total = step("transform", "aggregateData", groupBy=["name"], aggregations={"amount": "sum"})
-    want = [("Alice", 10.0), ("Charlie", 5.0)]
+    by_column = step("transform", "joinDataFrames", inputDataFrames=["wells", "orders"], joinColumn="id", broadcast=True)
+    by_key = step("transform", "joinDataFrames", inputDataFrames=["wells", "orders"], joinKey="id", joinType="left")
+    total = step("transform", "aggregateData", groupBy=["label"], aggregations={"amount": "sum"})
+    want = [("north", 5.0), ("quarry", 8.0)]
     run = run_steps(spark, spec(by_condition, total), frames)
     assert rows(run.current()) == want and run.frames["both"].count() == 3
     assert rows(run_steps(spark, spec(by_column, total), frames).current()) == want
     assert run_steps(spark, spec(by_key), frames).current().count() == 4
-    union = step("transform", "unionDataFrames", inputDataFrames=["people"])
-    assert run_steps(spark, spec(union), frames, people).current().count() == 6
-    alone = step("transform", "unionDataFrames", inputDataFrames=["people"], includePrimary=False)
-    assert run_steps(spark, spec(alone), frames, people).current().count() == 3
-    same = step("transform", "joinDataFrames", inputDataFrames=["people", "nobody"], joinColumn="id")
+    union = step("transform", "unionDataFrames", inputDataFrames=["wells"])
+    assert run_steps(spark, spec(union), frames, wells).current().count() == 6
+    alone = step("transform", "unionDataFrames", inputDataFrames=["wells"], includePrimary=False)
+    assert run_steps(spark, spec(alone), frames, wells).current().count() == 3
+    same = step("transform", "joinDataFrames", inputDataFrames=["wells", "nobody"], joinColumn="id")
     with pytest.raises(KeyError, match="nobody"):
         run_steps(spark, spec(same), frames)
 
 
-def test_references_and_schema(spark, people):
+def test_references_and_schema(spark, wells):
     orders = spark.createDataFrame([(1,), (7,)], "id int")
     check = step(
-        "validate", "validateReferentialIntegrity", foreignKey="id", referencedDataFrame="people", referencedColumn="id"
+        "validate", "validateReferentialIntegrity", foreignKey="id", referencedDataFrame="wells", referencedColumn="id"
     )
     with pytest.raises(ValidationFailed, match="id in id: 1"):
-        run_steps(spark, spec(check), {"people": people}, orders)
-    assert run_steps(spark, spec(check), {"people": people}, people.select("id")).current().count() == 3
+        run_steps(spark, spec(check), {"wells": wells}, orders)
+    assert run_steps(spark, spec(check), {"wells": wells}, wells.select("id")).current().count() == 3
     schema = step("validate", "validateSchema", expectedColumns=[{"name": "id", "type": "long"}])
     with pytest.raises(SchemaMismatch):
         run_steps(spark, spec(schema), primary=orders)
 
 
-def test_reshape_evolve_and_layout_steps(spark, sales):
+def test_reshape_evolve_and_layout_steps(spark, catches):
     pivoted = step(
-        "transform", "reshapeData", operation="pivot", pivotColumn="region", groupByColumns=["category"],
-        aggregateColumn="amount",
+        "transform", "reshapeData", operation="pivot", pivotColumn="species", groupByColumns=["harbour"],
+        aggregateColumn="kilos",
     )
     long = step(
-        "transform", "reshapeData", operation="unpivot", valueCols=["North", "South"], variableColName="region",
-        valueColName="amount",
+        "transform", "reshapeData", operation="unpivot", valueCols=["cod", "hake", "ling"], variableColName="species",
+        valueColName="kilos",
     )
     target = json.dumps({"type": "record", "name": "R", "fields": [
-        {"name": "category", "type": "string"}, {"name": "amount", "type": "double"}, {"name": "note", "type": "string"}]})
+        {"name": "harbour", "type": "string"}, {"name": "kilos", "type": "double"}, {"name": "note", "type": "string"}]})
     run = run_steps(
         spark,
         spec(
             pivoted, long, step("transform", "evolveAvroSchema", targetSchema=target),
             step("transform", "repartition", numPartitions="3"),
-            step("transform", "repartitionByColumns", columns="category", numPartitions=2),
+            step("transform", "repartitionByColumns", columns="harbour", numPartitions=2),
             step("transform", "coalesce", numPartitions=1, cache="true", cacheStorageLevel="MEMORY_ONLY_SER"),
         ),
-        primary=sales,
+        primary=catches,
     )
     out = run.current()
-    assert out.columns == ["category", "amount", "note"] and out.rdd.getNumPartitions() == 1
+    assert out.columns == ["harbour", "kilos", "note"] and out.rdd.getNumPartitions() == 1
     assert out.storageLevel.useMemory and not out.storageLevel.useDisk
-    assert sorted(r.amount for r in out.collect()) == [50.0, 75.0, 100.0, 200.0]
-    text = run_steps(spark, spec(step("transform", "toAvroSchema", name="Sale")), primary=sales).current().first()[0]
-    assert json.loads(text)["name"] == "Sale"
+    assert sorted(r.kilos for r in out.collect() if r.kilos) == [7.0, 15.5, 20.0]
+    text = run_steps(spark, spec(step("transform", "toAvroSchema", name="Landing")), primary=catches).current().first()[0]
+    assert json.loads(text)["name"] == "Landing"
 
 
-def test_streaming_mode(spark, users, tmp_path):
-    stream = spark.readStream.schema(spark.read.parquet(users).schema).parquet(users)
+def test_streaming_mode(spark, pumps, tmp_path):
+    stream = spark.readStream.schema(spark.read.parquet(pumps).schema).parquet(pumps)
     out = str(tmp_path / "out")
     run = run_steps(
         spark,
         spec(
-            step("transform", "filterRows", condition="age >= 18"),
-            step("validate", "validateBusinessRules", rules=["status = 'active'"], onViolation="filter"),
-            step("load", "toS3", **s3(out, trigger="once", checkpointLocation=str(tmp_path / "ck"), queryName="adults")),
+            step("transform", "filterRows", condition="flow >= 100"),
+            step("validate", "validateBusinessRules", rules=["state = 'on'"], onViolation="filter"),
+            step("load", "toS3", **s3(out, trigger="once", checkpointLocation=str(tmp_path / "ck"), queryName="strong")),
             mode="streaming",
         ),
         primary=stream,
     )
-    run.queries["adults"].awaitTermination(60)
-    assert rows(spark.read.parquet(out).select("user_id")) == [(1,), (4,)]
+    run.queries["strong"].awaitTermination(60)
+    assert rows(spark.read.parquet(out).select("pump_id")) == [(1,), (4,)]
     with pytest.raises(ValueError, match="onViolation"):
         run_steps(
-            spark, spec(step("validate", "validateNulls", notNullColumns=["age"]), mode="streaming"), primary=stream
+            spark, spec(step("validate", "validateNulls", notNullColumns=["flow"]), mode="streaming"), primary=stream
         )
 
 
-def test_input_errors(spark, people):
+def test_input_errors(spark, wells):
     for broken, message in [
         (spec(step("extract", "fromMars")), "unknown extract method"),
         (spec(step("transform", "teleport")), "unknown transform method"),
@@ -194,7 +194,7 @@ def test_input_errors(spark, people):
         (spec(step("validate", "validateBusinessRules", rules=["id > 0 -- x"])), "comment"),
     ]:
         with pytest.raises(ValueError, match=message):
-            run_steps(spark, broken, primary=people)
+            run_steps(spark, broken, primary=wells)
     with pytest.raises(ValueError, match="no frame yet"):
         run_steps(spark, spec(step("transform", "filterRows", condition="true")))
 
@@ -208,7 +208,7 @@ def test_credentials_become_options(spark):
     assert _jdbc(run, "toMySQL", {"url": "jdbc:mysql://m/x"})["url"] == "jdbc:mysql://m/x"
 
 
-def test_connector_steps_pass_their_options(spark, people, monkeypatch):
+def test_connector_steps_pass_their_options(spark, wells, monkeypatch):
     """No connection is made: the connector functions only record their arguments."""
     seen = {}
 
@@ -221,10 +221,10 @@ def test_connector_steps_pass_their_options(spark, people, monkeypatch):
 
     from weir import sinks, sources
 
-    monkeypatch.setattr(sources, "read_jdbc", record("read_jdbc", people))
-    monkeypatch.setattr(sources, "read_kafka", record("read_kafka", people.selectExpr("to_json(struct(*)) as value")))
-    monkeypatch.setattr(sources, "read_table", record("read_table", people))
-    monkeypatch.setattr(sources, "read_avro", record("read_avro", people))
+    monkeypatch.setattr(sources, "read_jdbc", record("read_jdbc", wells))
+    monkeypatch.setattr(sources, "read_kafka", record("read_kafka", wells.selectExpr("to_json(struct(*)) as value")))
+    monkeypatch.setattr(sources, "read_table", record("read_table", wells))
+    monkeypatch.setattr(sources, "read_avro", record("read_avro", wells))
     monkeypatch.setattr(sinks, "write_jdbc", record("write_jdbc", None))
     monkeypatch.setattr(sinks, "write_kafka", record("write_kafka", None))
     secrets = {
@@ -235,7 +235,7 @@ def test_connector_steps_pass_their_options(spark, people, monkeypatch):
         spark,
         spec(
             step("extract", "fromPostgres", query="select 1", credentialPath="pg", partitionColumn="id", numPartitions=20),
-            step("extract", "fromKafka", topic="t", credentialPath="kafka", endingOffsets="latest", schema="id int, age int"),
+            step("extract", "fromKafka", topic="t", credentialPath="kafka", endingOffsets="latest", schema="id int, depth int"),
             step("extract", "fromDeltaLake", path="/d", version=3),
             step("extract", "fromAvro", path="/a", avroSchema="{}"),
             step("load", "toMySQL", url="jdbc:mysql://m/x", table="out", mode="overwrite", batchSize=5000),
@@ -255,15 +255,15 @@ def test_connector_steps_pass_their_options(spark, people, monkeypatch):
         run_steps(spark, spec(step("extract", "fromPostgres", table="t", credentialPath="missing")))
 
 
-def test_history_is_kept_on_success_and_failure(spark, people, tmp_path):
+def test_history_is_kept_on_success_and_failure(spark, wells, tmp_path):
     from weir.metrics import read_history, throughput
 
     folder = str(tmp_path / "history")
     load = step("load", "toS3", **s3(str(tmp_path / "out")))
-    run_steps(spark, spec(load), primary=people, history=folder)
+    run_steps(spark, spec(load), primary=wells, history=folder)
     with pytest.raises(ValidationFailed):
         run_steps(
-            spark, spec(step("validate", "validateRanges", ranges={"age": [18, 99]}), load), primary=people, history=folder
+            spark, spec(step("validate", "validateRanges", ranges={"depth": [20, 99]}), load), primary=wells, history=folder
         )
     lines = read_history(spark, folder)
     assert rows(lines.select("method", "status", "records")) == [

@@ -1,7 +1,5 @@
 """Small worked examples with known results, across several operators."""
 
-from decimal import Decimal
-
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -22,76 +20,44 @@ from weir.scratch import scratch_path
 from weir.sources import synthetic_rows
 
 
-def test_users_and_orders(spark):
-    users = spark.createDataFrame(
-        [(1, "Alice", "a@x"), (2, "Bob", "b@x"), (3, "Cleo", "c@x")], "user_id int, name string, email string"
-    )
-    orders = spark.createDataFrame(
-        [(101, 1, Decimal("10.00"), "done"), (102, 1, Decimal("20.00"), "open"), (103, 2, Decimal("5.50"), "done")],
-        "order_id int, user_id int, amount decimal(10,2), status string",
-    )
-    joined = join_frames({"users": users, "orders": orders}, ["users.user_id = orders.user_id"])
-    assert joined.count() == 3
-    assert joined.filter("name = 'Alice'").count() == 2
+def test_wells_and_their_readings(spark, wells):
+    taken = spark.sql("select pmod(id, 2) + 2 as id, cast(id as double) as litres from range(7)")
+    joined = join_frames({"wells": wells, "taken": taken}, ["wells.id = taken.id"])
+    assert joined.groupBy("label").count().orderBy("label").collect() == [("mill", 4), ("quarry", 3)]
     summary = jobs.join_summary(
-        users.selectExpr("user_id as c_custkey", "name as c_name"),
-        orders.selectExpr("user_id as o_custkey", "cast(amount as double) as o_totalprice"),
+        wells.selectExpr("id as c_custkey", "label as c_name"), taken.selectExpr("id as o_custkey", "litres as o_totalprice")
     )
-    assert rows(summary) == [(1, "Alice", 2, 30.0, 15.0), (2, "Bob", 1, 5.5, 5.5)]
-
-
-def test_three_sources(spark):
-    parts = [
-        spark.createDataFrame(data, "id int, value string")
-        for data in ([(1, "a"), (2, "b")], [(3, "c"), (4, "d")], [(5, "e")])
-    ]
-    assert union_frames(parts).count() == 5
-    step = {"type": "transform", "method": "unionDataFrames", "config": {"inputDataFrames": ["s1", "s2", "s3"]}}
-    frames = dict(zip(("s1", "s2", "s3"), parts))
-    again = run_steps(spark, {"steps": [step]}, frames, primary=parts[2])
-    assert again.current().count() == 6
-
-
-def test_quarterly_sales(spark):
-    df = spark.createDataFrame(
-        [(p, q, Decimal(v)) for p, q, v in [
-            ("Laptop", "Q1", "100"), ("Laptop", "Q2", "150"), ("Laptop", "Q3", "200"),
-            ("Mouse", "Q1", "50"), ("Mouse", "Q2", "75"), ("Mouse", "Q3", "100")]],
-        "product string, quarter string, sales decimal(10,2)",
-    )
-    wide = pivot(df, ["product"], "quarter", "sales")
-    assert wide.columns == ["product", "Q1", "Q2", "Q3"] and wide.count() == 2
+    assert rows(summary) == [(2, "mill", 4, 12.0, 3.0), (3, "quarry", 3, 9.0, 3.0)]
 
 
-def test_active_users(spark):
-    df = spark.createDataFrame(
-        [(1, "Ann", 30, "active"), (2, "Ben", 25, "active"), (3, "Cas", 40, "inactive"), (4, "Dee", 19, "active")],
-        "id int, name string, age int, status string",
-    )
-    out = enrich(filter_rows(df, "status = 'active'"), {"is_adult": "age >= 18"})
-    assert out.count() == 3 and out.filter("is_adult").count() == 3
+def test_union_counts_the_primary_frame_once_more(spark):
+    tides = {f"gauge{i}": spark.range(i, 3 * i).selectExpr("id", "id % 2 = 0 as high") for i in (1, 2, 4)}
+    assert union_frames(list(tides.values())).count() == 14
+    step = {"type": "transform", "method": "unionDataFrames", "config": {"inputDataFrames": list(tides), "distinct": True}}
+    assert run_steps(spark, {"steps": [step]}, tides, primary=tides["gauge4"]).current().count() == 11
 
 
-def test_ranges_and_rules(spark):
-    people = spark.createDataFrame(
-        [(1, 25, Decimal("85.50")), (2, 150, Decimal("92.00")), (3, 30, Decimal("78.25"))],
-        "id int, age int, score decimal(5,2)",
-    )
-    report = validate_ranges(people, {"age": {"min": 0, "max": 120}, "score": {"min": 0, "max": 100}})
-    assert [r.violations for r in report.collect()] == [0, 1, 0, 0]
-    orders = spark.createDataFrame(
-        [(1, "gold", "100.00", "10.00"), (2, "gold", "200.00", "50.00"), (3, "new", "50.00", "0.00")],
-        "order_id int, customer_type string, amount string, discount string",
-    )
-    typed = enrich(orders, {"amount": "cast(amount as decimal(10,2))", "discount": "cast(discount as decimal(5,2))"})
-    assert [r.violations for r in validate_rules(typed, ["discount <= 20", "amount >= 10"]).collect()] == [1, 0]
+def test_pivot_of_days_without_a_list(spark):
+    days = spark.range(28).selectExpr("id div 14 as fortnight", "concat('d', id % 7) as weekday", "id * id as rain")
+    wide = pivot(days, ["fortnight"], "weekday", "rain", "max")
+    assert wide.columns == ["fortnight", *[f"d{i}" for i in range(7)]]
+    assert rows(wide)[1] == (1, *[(21 + i) ** 2 for i in range(7)])
+
+
+def test_filter_then_enrich_then_check(catches):
+    cod = enrich(filter_rows(catches, "species = 'cod'"), {"crates": "ceil(kilos / 5)"})
+    assert rows(cod.select("kilos", "crates")) == [(12.5, 3), (3.0, 1)]
+    report = validate_ranges(catches, {"kilos": {"min": 5, "max": 15}})
+    assert [r.violations for r in report.collect()] == [1, 1]
+    found = validate_rules(catches, ["length(species) = 4 or kilos < 15", "harbour <> species"]).collect()
+    assert [r.violations for r in found] == [0, 0]
 
 
-def test_many_rows_in_categories(spark):
-    df = synthetic_rows(spark, 10_000, categories=100)
-    out = aggregate(df, ["category"], {"mean_value": "avg(value1)", "n": "count(*)"})
-    assert out.count() == 100 and {r.n for r in out.collect()} == {100}
-    assert repartition(df, 8).rdd.getNumPartitions() == 8
+def test_generated_rows_spread_evenly(spark):
+    df = synthetic_rows(spark, 4_096, categories=32)
+    out = aggregate(df, ["category"], {"n": "count(*)"})
+    assert out.count() == 32 and {r.n for r in out.collect()} == {128}
+    assert repartition(df, 5).rdd.getNumPartitions() == 5
 
 
 @pytest.mark.parametrize("cut", ["2024-01-02", "2024-01-09"])

@@ -120,8 +120,8 @@ def test_theta_join(spark):
     assert rows(out.select("id", "band")) == [(1, "low"), (2, "high")]
 
 
-def test_self_join_under_two_names(people):
-    out = join_frames([("a", people), ("b", people)], ["a.id = b.id - 1"])
+def test_self_join_under_two_names(wells):
+    out = join_frames([("a", wells), ("b", wells)], ["a.id = b.id - 1"])
     picked = out.select(F.col("a.name").alias("x"), F.col("b.name").alias("y"))
     assert rows(picked) == [("Alice", "Bob"), ("Bob", "Charlie")]
 

@@ -77,11 +77,11 @@ def test_empty_input_has_no_violations(spark):
     assert clean.count() == failed.count() == 0
 
 
-def test_no_checks_is_an_error(people):
+def test_no_checks_is_an_error(wells):
     with pytest.raises(ValueError):
-        violation_report(people, [])
+        violation_report(wells, [])
     with pytest.raises(ValueError):
-        with_violations(people, [])
+        with_violations(wells, [])
 
 
 def test_references(spark):

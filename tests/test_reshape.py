@@ -25,13 +25,16 @@ def test_pivot_count_has_null_for_empty_cells(quarters):
 
 @pytest.mark.parametrize("agg, cell", [("avg", 12.5), ("min", 5.0), ("max", 20.0), ("count", 2)])
 def test_pivot_aggregates(quarters, agg, cell):
-    out = pivot(quarters, ["product"], "quarter", "sales", agg, ["Q2"])
-    assert rows(out.filter("product = 'P1'")) == [("P1", cell)]
+    out = pivot(quarters, ["product"], "quarter", "sales", agg, ["Q2"], rest="other")
+    assert rows(out.filter("product = 'P1'").select("product", "Q2")) == [("P1", cell)]
 
 
 def test_named_values_fix_the_columns(quarters):
-    out = pivot(quarters, ["product"], "quarter", "sales", values=["Q3", "Q9"])
-    assert out.columns == ["product", "Q3", "Q9"]
+    out = pivot(quarters, ["product"], "quarter", "sales", values=["Q3", "Q9"], rest="other")
+    assert out.columns == ["product", "Q3", "Q9", "other"]
+    assert rows(out) == [("P1", None, None, 35.0), ("P2", 1.0, None, 30.0)]
+    with pytest.raises(Exception, match="not listed: Q1"):
+        pivot(quarters.filter("quarter = 'Q1'"), ["product"], "quarter", "sales", values=["Q3"]).collect()
     with pytest.raises(ValueError):
         pivot(quarters, ["product"], "quarter", "sales", "median")
 

@@ -170,7 +170,7 @@ def test_kafka_options():
     }
     stream = kafka_read_options("t", streaming=True, endingOffsets="latest", maxOffsetsPerTrigger=5)
     assert stream == {
-        "subscribe": "t", "startingOffsets": "latest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5",
+        "subscribe": "t", "startingOffsets": "latest", "maxOffsetsPerTrigger": "5",
         "minPartitions": "1", "kafka.bootstrap.servers": "localhost:9092",
     }
     assert kafka_write_options("t", "b:1") == {"topic": "t", "kafka.bootstrap.servers": "b:1"}

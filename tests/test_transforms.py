@@ -4,8 +4,8 @@ from weir.operators import aggregate, enrich, filter_rows
 import pytest
 
 
-def test_filter_keeps_only_true(people):
-    assert filter_rows(people, "age > 18").count() == 2
+def test_filter_keeps_only_true(wells):
+    assert filter_rows(wells, "depth >= 40").count() == 2
 
 
 def test_filter_drops_null_verdicts(spark):
@@ -15,22 +15,20 @@ def test_filter_drops_null_verdicts(spark):
 
 
 def test_enrich_adds_columns_in_order(spark):
-    df = spark.createDataFrame(
-        [("Alice", "Smith", 25), ("Bob", "Jones", 30)], "first_name string, last_name string, age int"
-    )
-    out = enrich(df, {"full_name": "concat(first_name, ' ', last_name)", "is_adult": "age >= 18"})
-    assert out.columns == ["first_name", "last_name", "age", "full_name", "is_adult"]
-    assert [r.full_name for r in out.orderBy("age").collect()] == ["Alice Smith", "Bob Jones"]
+    df = spark.createDataFrame([("A4", 210, 297), ("A5", 148, 210)], "paper string, wide int, high int")
+    out = enrich(df, {"area": "wide * high", "tag": "concat(paper, '/', area)"})
+    assert out.columns == ["paper", "wide", "high", "area", "tag"]
+    assert [r.tag for r in out.orderBy("paper").collect()] == ["A4/62370", "A5/31080"]
 
 
-def test_enrich_sees_earlier_columns_and_overwrites(people):
-    columns = {f"c{i}": f"c{i - 1} + 1" if i else "age" for i in range(8)}
-    out = enrich(people, {**columns, "age": "c7 * 2"})
-    assert rows(out.select("id", "c7", "age")) == [(1, 32, 64), (2, 24, 48), (3, 37, 74)]
+def test_enrich_sees_earlier_columns_and_overwrites(wells):
+    columns = {f"c{i}": f"c{i - 1} + 1" if i else "depth" for i in range(8)}
+    out = enrich(wells, {**columns, "depth": "c7 * 2"})
+    assert rows(out.select("id", "c7", "depth")) == [(1, 47, 94), (2, 19, 38), (3, 78, 156)]
 
 
-def test_enrich_of_now_and_random(people):
-    out = enrich(people, {"today": "current_date()", "at": "current_timestamp()", "r": "rand(7)"})
+def test_enrich_of_now_and_random(wells):
+    out = enrich(wells, {"today": "current_date()", "at": "current_timestamp()", "r": "rand(7)"})
     first, second = out.collect(), out.collect()
     assert [r.r for r in first] == [r.r for r in second]
     assert all(0 <= r.r < 1 and r.today is not None and r.at is not None for r in first)
@@ -48,26 +46,24 @@ def test_chain_is_one_projection(spark, tmp_path):
     assert "GreaterThan(v,10)" in text
 
 
-def test_aggregate_by_function_name(sales):
-    out = aggregate(sales, ["category"], {"amount": "sum", "region": "count"})
-    assert out.columns == ["category", "amount_sum", "region_count"]
-    assert rows(out) == [("Books", 125.0, 2), ("Electronics", 300.0, 2)]
+def test_aggregate_by_function_name(catches):
+    out = aggregate(catches, ["harbour"], {"kilos": "sum", "species": "count"})
+    assert out.columns == ["harbour", "kilos_sum", "species_count"]
+    assert rows(out) == [("Oban", 22.5, 3), ("Ullapool", 20.0, 1)]
 
 
 @pytest.mark.parametrize(
     "name, column, value",
-    [("avg", "amount_avg", 62.5), ("MEAN", "amount_avg", 62.5), ("min", "amount_min", 50.0), ("max", "amount_max", 75.0)],
+    [("avg", "kilos_avg", 7.5), ("MEAN", "kilos_avg", 7.5), ("min", "kilos_min", 3.0), ("max", "kilos_max", 12.5)],
 )
-def test_aggregate_functions(sales, name, column, value):
-    out = aggregate(sales, ["category"], {"amount": name}).filter("category = 'Books'")
+def test_aggregate_functions(catches, name, column, value):
+    out = aggregate(catches, ["harbour"], {"kilos": name}).filter("harbour = 'Oban'")
     assert rows(out.select(column)) == [(value,)]
 
 
-def test_aggregate_by_expression(sales):
-    out = aggregate(
-        sales, ["category"], {"n": "count(*)", "total": "sum(amount)", "regions": "count(distinct region)"}
-    )
-    assert rows(out) == [("Books", 2, 125.0, 2), ("Electronics", 2, 300.0, 2)]
+def test_aggregate_by_expression(catches):
+    measures = {"landings": "count(*)", "heaviest": "max_by(species, kilos)", "kinds": "count(distinct species)"}
+    assert rows(aggregate(catches, ["harbour"], measures)) == [("Oban", 3, "cod", 2), ("Ullapool", 1, "hake", 1)]
 
 
 def test_count_skips_nulls(spark):
@@ -75,31 +71,26 @@ def test_count_skips_nulls(spark):
     assert rows(aggregate(df, ["k"], {"v": "count"})) == [("a", 1)]
 
 
-def test_decimal_sums(spark):
-    df = spark.createDataFrame(
-        [(1, "Electronics", "150.50", 2), (2, "Electronics", "200.75", 3), (3, "Books", "45.25", 4),
-         (4, "Books", "80.00", 5), (5, "Electronics", "100.00", 1)],
-        "id int, product_category string, amount string, quantity int",
-    )
-    df = enrich(df, {"amount": "cast(amount as decimal(10,2))"})
-    out = aggregate(df, ["product_category"], {"amount": "sum", "quantity": "sum"})
-    assert [(c, float(a), q) for c, a, q in rows(out)] == [("Books", 125.25, 9), ("Electronics", 451.25, 6)]
+def test_sums_of_tenths_stay_exact(spark):
+    tenths = enrich(spark.range(1, 31), {"pier": "id % 3", "tonnes": "cast(id as decimal(6,1)) / 10"})
+    out = aggregate(enrich(tenths, {"tonnes": "cast(tonnes as decimal(6,1))"}), ["pier"], {"tonnes": "sum", "id": "count"})
+    assert [(pier, str(total), n) for pier, total, n in rows(out)] == [(0, "16.5", 10), (1, "14.5", 10), (2, "15.5", 10)]
 
 
-def test_global_aggregate_and_empty_input(sales):
-    assert rows(aggregate(sales, [], {"amount": "sum"})) == [(425.0,)]
-    empty = sales.filter("false")
-    assert rows(aggregate(empty, [], {"amount": "sum"})) == [(None,)]
-    assert rows(aggregate(empty, ["category"], {"amount": "sum"})) == []
+def test_global_aggregate_and_empty_input(catches):
+    assert rows(aggregate(catches, [], {"kilos": "sum"})) == [(42.5,)]
+    empty = catches.filter("false")
+    assert rows(aggregate(empty, [], {"kilos": "sum"})) == [(None,)]
+    assert rows(aggregate(empty, ["harbour"], {"kilos": "sum"})) == []
 
 
-def test_aggregate_rejects_bad_input(sales):
+def test_aggregate_rejects_bad_input(catches):
     with pytest.raises(ValueError, match="at least one"):
-        aggregate(sales, ["category"], {})
+        aggregate(catches, ["harbour"], {})
     with pytest.raises(ValueError, match="median"):
-        aggregate(sales, ["category"], {"amount": "median"})
+        aggregate(catches, ["harbour"], {"kilos": "median"})
 
 
-def test_aggregation_combines_before_the_shuffle(sales):
-    text = plan(aggregate(sales, ["category"], {"amount": "sum"}))
+def test_aggregation_combines_before_the_shuffle(catches):
+    text = plan(aggregate(catches, ["harbour"], {"kilos": "sum"}))
     assert "partial_sum" in text

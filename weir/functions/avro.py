@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column
@@ -56,32 +56,85 @@ def record_fields(schema: str | Mapping[str, Any]) -> list[dict[str, Any]]:
     return list(parsed["fields"])
 
 
-def spark_type_of(avro: Any) -> T.DataType:
-    """Spark type of an Avro type; a union takes its first non-null member.
-
-    Named types that are only referred to, and enums, become strings.
+def named_types(avro: Any, namespace: str = "") -> dict[str, Any]:
+    """Records, enums and fixed types by name, with and without their namespace."""
+    found: dict[str, Any] = {}
+    if isinstance(avro, list):
+        for member in avro:
+            found |= named_types(member, namespace)
+    elif isinstance(avro, Mapping):
+        namespace = avro.get("namespace", namespace)
+        if "name" in avro and avro.get("type") in ("record", "enum", "fixed"):
+            found |= {name: avro for name in (avro["name"], f"{namespace}.{avro['name']}")}
+        for inner in (avro.get("type"), avro.get("items"), avro.get("values"), *avro.get("fields", [])):
+            if not isinstance(inner, str):
+                found |= named_types(inner, namespace)
+    return found
+
+
+def widened(kinds: Sequence[T.DataType]) -> T.DataType:
+    """The one type that holds every member of a union without loss."""
+    if all(same_type(kind, kinds[0]) for kind in kinds):
+        return kinds[0]
+    if all(isinstance(kind, (T.IntegerType, T.LongType)) for kind in kinds):
+        return T.LongType()
+    if all(isinstance(kind, (T.FloatType, T.DoubleType)) for kind in kinds):
+        return T.DoubleType()
+    raise ValueError(f"no common type for the union of {', '.join(kind.simpleString() for kind in kinds)}")
+
+
+def plain_type(kind: T.DataType) -> T.DataType:
+    """The type with every nested value nullable."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(plain_type(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(plain_type(kind.keyType), plain_type(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, plain_type(f.dataType)) for f in kind.fields])
+    return kind
+
+
+def same_type(a: T.DataType, b: T.DataType) -> bool:
+    """Equal but for nullability, at every depth."""
+    return plain_type(a) == plain_type(b)
+
+
+def spark_type_of(avro: Any, names: Mapping[str, Any] | None = None) -> T.DataType:
+    """Spark type of an Avro type.
+
+    A union of int and long, or float and double, takes the wider; one without
+    a common type is an error. ``names`` resolves references to named types;
+    see :func:`named_types`. Enums become strings.
     """
+    names = named_types(avro) if names is None else names
     if isinstance(avro, list):
-        members = [member for member in avro if member != "null"]
-        return spark_type_of(members[0]) if members else T.NullType()
+        members = [spark_type_of(member, names) for member in avro if member != "null"]
+        return widened(members) if members else T.NullType()
     if isinstance(avro, str):
-        return PRIMITIVES.get(avro, T.StringType())
+        if avro in PRIMITIVES:
+            return PRIMITIVES[avro]
+        if avro not in names:
+            raise ValueError(f"unknown Avro type {avro!r}")
+        others = {name: kind for name, kind in names.items() if kind is not names[avro]}  # no recursion
+        return spark_type_of(names[avro], others)
     logical, kind = avro.get("logicalType"), avro["type"]
     if logical == "decimal":
         return T.DecimalType(avro["precision"], avro.get("scale", 0))
     if logical in LOGICAL:
         return LOGICAL[logical]
     if kind == "array":
-        return T.ArrayType(spark_type_of(avro["items"]), _nullable(avro["items"]))
+        return T.ArrayType(spark_type_of(avro["items"], names), _nullable(avro["items"]))
     if kind == "map":
-        return T.MapType(T.StringType(), spark_type_of(avro["values"]), _nullable(avro["values"]))
+        return T.MapType(T.StringType(), spark_type_of(avro["values"], names), _nullable(avro["values"]))
     if kind == "record":
         return T.StructType(
-            [T.StructField(f["name"], spark_type_of(f["type"]), _nullable(f["type"])) for f in avro["fields"]]
+            [T.StructField(f["name"], spark_type_of(f["type"], names), _nullable(f["type"])) for f in avro["fields"]]
         )
     if kind == "fixed":
         return T.BinaryType()
-    return spark_type_of(kind)
+    if kind == "enum":
+        return T.StringType()
+    return spark_type_of(kind, names)
 
 
 def _nullable(avro: Any) -> bool:

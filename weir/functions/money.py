@@ -22,5 +22,10 @@ def to_cents(value: Column | str, digits: int = 2) -> Column:
 
 
 def exact_sum(value: Column | str, digits: int = 2) -> Column:
-    """The exact sum, as a double."""
-    return F.sum(to_cents(value, digits)) / 10**digits
+    """The exact sum, as the nearest double: divided as a decimal, as a double holds 53 bits only."""
+    return whole_to_amount(F.sum(to_cents(value, digits)), digits)
+
+
+def whole_to_amount(units: Column, digits: int = 2) -> Column:
+    """A whole number of smallest units as an amount, rounded once."""
+    return (units.cast("decimal(20,0)") / F.lit(10**digits).cast("decimal(10,0)")).cast("double")

@@ -14,7 +14,6 @@ ACCURACY = 10_000
 LEAF_ROWS = 4_000_000
 BROADCAST_ROWS = 20_000  # of at most some kilobytes each
 EVEN_CUTS = [i / 32 for i in range(1, 32)]
-MAX_ROUNDS = 10
 
 
 def nearest_rank(
@@ -49,15 +48,17 @@ def nearest_rank(
     pool = inside.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
 
     largest = targets.agg(F.max("_rows")).first()[0] or 0
-    for depth in range(1, MAX_ROUNDS):
-        if largest <= leaf_rows:
-            break
+    depth = 0
+    while largest > leaf_rows:  # values of a slice are distinct, so every cut makes it smaller
+        depth, before = depth + 1, largest
         pool, part = checkpointed(pool), f"_s{depth}"
         sliced = _sliced(pool, part, keys, EVEN_CUTS, accuracy)
         targets = _fixed(_targets(sliced, part, keys, targets))
         keys = [*keys, part]
         pool = _match(sliced, targets.select(*keys), keys)
         largest = pool.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if largest >= before:
+            raise RuntimeError(f"a slice of {largest} values could not be cut")
 
     seen = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_v"))
     hits = _match(pool.withColumn("_seen", seen), targets, keys).withColumn("_t", F.explode("_targets"))

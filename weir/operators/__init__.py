@@ -8,6 +8,7 @@ from weir.operators.quality import (
     null_checks,
     orphans,
     quarantine,
+    split_references,
     range_checks,
     rule_checks,
     validate_nulls,
@@ -56,6 +57,7 @@ __all__ = [
     "pivot",
     "planned_bytes",
     "quarantine",
+    "split_references",
     "range_checks",
     "rebalance",
     "repartition",

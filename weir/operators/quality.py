@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_SIZE = 5
+# Fixed value: the largest rank limit that Spark applies before a shuffle.
+PUSHED_LIMIT = 1000
+SAMPLE_SHARDS = 256
 
 
 class ValidationFailed(ValueError):
@@ -172,6 +175,19 @@ def quarantine(
     return clean, with_violations(df.filter(broken), checks, column)
 
 
+def split_references(
+    df: DataFrame, foreign_key: str | Sequence[str], referenced: DataFrame, referenced_key: str | Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is referenced or has a NULL part, and the others."""
+    keys = [foreign_key] if isinstance(foreign_key, str) else list(foreign_key)
+    others = [referenced_key] if isinstance(referenced_key, str) else list(referenced_key)
+    known = referenced.select(*[F.col(o).alias(f"_ref_{i}") for i, o in enumerate(others)]).distinct()
+    on = [df[k] == known[f"_ref_{i}"] for i, k in enumerate(keys)]
+    partial = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    kept = df.join(known, on, "left_semi").unionByName(df.filter(partial))
+    return kept, df.filter(~partial).join(known, on, "left_anti")
+
+
 def drop_invalid(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Only the rows that pass every check."""
     return quarantine(df, checks)[0]
@@ -183,10 +199,16 @@ def violation_samples(
     """The first ``limit`` violating rows of each rule, in key order.
 
     The rank filter is applied in every task before the shuffle, so a rule
-    that a third of the table breaks still moves ``limit`` rows per task.
+    that a third of the table breaks still moves ``limit`` rows per task. Spark
+    does so up to ``PUSHED_LIMIT``; beyond, rows are ranked in ``SAMPLE_SHARDS``
+    shards of each rule first.
     """
     _, failed = quarantine(df, checks, "_broken")
-    ranked = failed.withColumn("rule", F.explode("_broken")).withColumn(
-        "sample", F.row_number().over(Window.partitionBy("rule").orderBy(*key))
-    )
-    return ranked.filter(F.col("sample") <= limit).drop("_broken")
+    broken = failed.withColumn("rule", F.explode("_broken")).drop("_broken")
+    if limit > PUSHED_LIMIT:
+        shard = F.pmod(F.xxhash64(*key), F.lit(SAMPLE_SHARDS))
+        within = F.row_number().over(Window.partitionBy("rule", "_shard").orderBy(*key))
+        broken = broken.withColumn("_shard", shard).withColumn("_place", within)
+        broken = broken.filter(F.col("_place") <= limit).drop("_shard", "_place")
+    rank = F.row_number().over(Window.partitionBy("rule").orderBy(*key))
+    return broken.withColumn("sample", rank).filter(F.col("sample") <= limit)

@@ -27,19 +27,19 @@ def pivot(
     that looks them up. Rows with another value, or NULL, are then counted in
     the column ``rest``; without one such a row is an error, not a silent loss.
     """
-    given = list(values) if values else None
-    if given:
-        listed = F.coalesce(F.col(pivot_column).isin(given), F.lit(False))
-        text = F.col(pivot_column).cast("string")
+    names = None
+    if values:
+        names = [str(v).lower() if isinstance(v, bool) else str(v) for v in values]
+        value = F.col(pivot_column)
+        label = F.coalesce(*[F.when(value == F.lit(v), name) for v, name in zip(values, names)])
         if rest is None:
-            message = F.concat(F.lit(f"{pivot_column} has a value that is not listed: "), F.coalesce(text, F.lit("NULL")))
-            unlisted = F.raise_error(message).cast("string")
+            found = F.coalesce(value.cast("string"), F.lit("NULL"))
+            other = F.raise_error(F.concat(F.lit(f"{pivot_column} has a value that is not listed: "), found)).cast("string")
         else:
-            unlisted = F.lit(rest)
-        df = df.withColumn(pivot_column, F.when(listed, text).otherwise(unlisted))
-        given = [F.lit(value).cast("string") for value in given] + ([F.lit(rest)] if rest else [])
-        given = [row[0] for row in _literals(df, given)]
-    grouped = df.groupBy(*group_by).pivot(pivot_column, given)
+            other = F.lit(rest)
+            names.append(rest)
+        df = df.withColumn(pivot_column, F.coalesce(label, other))
+    grouped = df.groupBy(*group_by).pivot(pivot_column, names)
     if aggregate_column is None:
         return grouped.agg(F.count(F.lit(1)))
     if agg.lower() not in NAMED_FUNCTIONS:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weir.functions.avro import avro_of, default_column, record_fields, spark_type_of
+from weir.functions.avro import avro_of, default_column, named_types, record_fields, same_type, spark_type_of
 
 # Record name and namespace used when none is given.
 DEFAULT_RECORD = "Record"
@@ -46,7 +46,7 @@ def validate_schema(
     for i, want in enumerate(expected):
         name, target = want["name"], spark_type(want["type"])
         found = actual.get(name)
-        status = "missing" if found is None else "ok" if found == target else "type_differs"
+        status = "missing" if found is None else "ok" if same_type(found, target) else "type_differs"
         uncastable = F.lit(0).cast("bigint")
         if status == "type_differs" and isinstance(found, T.StringType):
             counts.append(F.count_if(_would_fail(df, name, target)).alias(f"_{i}"))
@@ -132,13 +132,14 @@ def evolve(
     ``use_defaults`` fills new columns with the declared defaults.
     """
     fields = record_fields(target)
+    types = named_types(json.loads(target) if isinstance(target, str) else target)
     wanted = {f["name"]: f for f in fields}
     kept = [c for c in df.columns if c in wanted]
     added = [f["name"] for f in fields if f["name"] not in df.columns]
     names = [f["name"] for f in fields] if target_order else kept + added
 
     def column(name: str) -> Column:
-        kind = spark_type_of(wanted[name]["type"])
+        kind = spark_type_of(wanted[name]["type"], types)
         if name in kept:
             value = F.col(f"`{name}`")
             return value.try_cast(kind).alias(name) if cast else value
@@ -167,13 +168,14 @@ def schema_compat(df: DataFrame, target: str | Mapping[str, Any]) -> DataFrame:
     """
     actual = {f.name: f.dataType for f in df.schema.fields}
     lines, counts = [], []
+    names = named_types(json.loads(target) if isinstance(target, str) else target)
     for i, field in enumerate(record_fields(target)):
-        name, kind = field["name"], spark_type_of(field["type"])
+        name, kind = field["name"], spark_type_of(field["type"], names)
         found = actual.get(name)
         failing = F.lit(0).cast("bigint")
         if found is None:
             verdict = "default" if "default" in field else "missing"
-        elif found == kind:
+        elif same_type(found, kind):
             verdict = "same"
         else:
             verdict = "type_differs"

@@ -192,7 +192,7 @@ def _extract(run: Run, steps: list[dict[str, Any]]) -> None:
     elif method == "fromKafka":
         offsets = {
             key: config.get(key)
-            for key in (*sources.kafka.STREAM_DEFAULTS, "endingOffsets")
+            for key in (*sources.kafka.STREAM_OPTIONS, "endingOffsets")
             if key in config
         }
         df = sources.read_kafka(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Skewed join and rebalance partitions are split at run time. The force flag
@@ -18,9 +21,8 @@ ADAPTIVE_SETTINGS = {
 
 
 # Input per shuffle partition to start from. Shuffled data is pruned and combined,
-# so it is smaller; the ceiling keeps the bookkeeping of map outputs bounded.
+# so it is smaller.
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 32_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SIZED_BY_US = "weir.initialPartitionNum"
 
@@ -49,6 +51,20 @@ def apply_runtime_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Shuffles sized for an input while the block runs; the settings are as before afterwards."""
+    before = {key: spark.conf.get(key, None) for key in (INITIAL_PARTITIONS, SIZED_BY_US)}
+    try:
+        yield size_shuffles(spark, input_bytes)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Start shuffles with enough partitions for the input; returns their number.
 
@@ -60,7 +76,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     chosen = spark.conf.get(INITIAL_PARTITIONS, None)
     if chosen is not None and chosen != spark.conf.get(SIZED_BY_US, None):
         return int(chosen)
-    wanted = min(-(-input_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+    wanted = -(-input_bytes // PARTITION_BYTES)
     current = int(chosen or default)
     if wanted <= current:
         return current

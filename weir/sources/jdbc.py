@@ -60,6 +60,17 @@ def jdbc_read_options(
     return {key: str(value) for key, value in options.items() if value is not None}
 
 
+def newer_rows_query(table: str, column: str, mark: str | None) -> str:
+    """Query for the rows past a mark, with the mark as a literal that the database sees.
+
+    Give it to :func:`jdbc_read_options` as ``query``; split reads wrap it in ``dbtable``.
+    """
+    if mark is None:
+        return f"select * from {table}"
+    quoted = mark.replace("'", "''")
+    return f"select * from {table} where {column} > '{quoted}'"
+
+
 def read_jdbc(spark: SparkSession, url: str, **options: Any) -> DataFrame:
     """Table or pushed-down query; see :func:`jdbc_read_options`. Needs the driver jar."""
     return spark.read.format("jdbc").options(**jdbc_read_options(url, **options)).load()
