@@ -27,6 +27,7 @@ from weir.operators.schemas import (
     evolve,
     schema_compat,
     schema_profile,
+    split_by_schema,
     to_avro_schema,
     validate_schema,
 )
@@ -65,6 +66,7 @@ __all__ = [
     "rule_checks",
     "schema_compat",
     "schema_profile",
+    "split_by_schema",
     "snapshot_as_of",
     "to_avro_schema",
     "uncache",

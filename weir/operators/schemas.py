@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -73,6 +74,23 @@ def validate_schema(
     return report
 
 
+def split_by_schema(df: DataFrame, expected: Sequence[Mapping[str, str]]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose values all convert to the expected types, and the others.
+
+    Types are not changed. A missing column is an error, as no row can have it.
+    """
+    missing = [want["name"] for want in expected if want["name"] not in df.columns]
+    if missing:
+        raise SchemaMismatch("; ".join(f"column {name}: missing" for name in missing))
+    fails = [
+        _would_fail(df, want["name"], spark_type(want["type"]))
+        for want in expected
+        if not same_type(df.schema[want["name"]].dataType, spark_type(want["type"]))
+    ]
+    broken = reduce(lambda a, b: a | b, fails, F.lit(False))
+    return df.filter(~broken), df.filter(broken)
+
+
 def avro_schema_json(
     df: DataFrame, namespace: str = DEFAULT_NAMESPACE, name: str = DEFAULT_RECORD
 ) -> str:

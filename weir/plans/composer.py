@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from weir import metrics, operators, sinks, sources, streaming
 from weir.functions.guards import check_sql_text
 from weir.operators import quality
+from weir.session import sized_shuffles
 
 # Step types, and method names with what they stand for.
 STEP_TYPES = ("extract", "transform", "validate", "load")
@@ -31,6 +32,8 @@ JDBC_DATABASE = {
     "toMySQL": "mysql",
 }
 FILE_SINKS = ("toS3", "toDeltaLake", "toAvro")
+ACTIONS = ("fail", "filter", "quarantine")
+MOST_BYTES = 1 << 60
 ROW_CHECKS = ("validateNulls", "validateRanges", "validateBusinessRules")
 
 
@@ -45,6 +48,7 @@ class Run:
     primary: DataFrame | None = None
     frames: dict[str, DataFrame] = field(default_factory=dict)
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
+    cached: list[DataFrame] = field(default_factory=list)
     metrics: list[dict[str, Any]] = field(default_factory=list)
 
     def current(self) -> DataFrame:
@@ -52,6 +56,12 @@ class Run:
             raise ValueError("no frame yet: start with an extract step or a named frame")
         return self.primary
 
+    def release(self) -> None:
+        """Give back what cache steps keep in memory; the frames themselves stay usable."""
+        for df in self.cached:
+            operators.uncache(df)
+        self.cached.clear()
+
     def frame(self, name: str) -> DataFrame:
         if name not in self.frames:
             raise KeyError(f"no frame named {name!r}; there are {sorted(self.frames)}")
@@ -65,13 +75,17 @@ def run_steps(
     primary: DataFrame | None = None,
     credentials: Mapping[str, Mapping[str, Any]] | None = None,
     history: str | None = None,
+    release: bool = False,
 ) -> Run:
     """Fold the steps; returns the last primary frame, named frames and queries.
 
     ``frames`` and ``primary`` can be given beforehand, as library use does.
     ``credentials`` maps each ``credentialPath`` in the steps to its options.
     ``history`` names a folder that the step metrics are appended to, whether
-    the run succeeds or fails.
+    the run succeeds or fails. ``release`` uncaches at the end of the run.
+
+    Shuffles are sized by the input of each step that computes something, and
+    the session's setting is as before afterwards.
     """
     mode = spec.get("mode", "batch")
     if mode not in MODES:
@@ -96,6 +110,8 @@ def run_steps(
             for batch in [members] if shared[0] == "checks" else [[step] for step in members]:
                 _timed_step(run, batch)
     finally:
+        if release:
+            run.release()
         if history and run.metrics:
             metrics.append_history(metrics.metrics_frame(spark, run.metrics), history)
     return run
@@ -103,14 +119,24 @@ def run_steps(
 
 def _scan_key(step: Mapping[str, Any]) -> tuple[str, str]:
     if step["type"] == "validate" and step["method"] in ROW_CHECKS:
-        return "checks", step["config"].get("onViolation", "fail")
+        config = step["config"]
+        return "checks", f"{config.get('onViolation', 'fail')} {config.get('rejectsAs', '')}"
     return "single", ""
 
 
 def _timed_step(run: Run, steps: list[dict[str, Any]]) -> None:
     kind = steps[0]["type"]
     act = {"extract": _extract, "transform": _transform, "validate": _validate, "load": _load}[kind]
-    status, millis, result = metrics.timed(lambda: act(run, steps))
+
+
+    def sized() -> Any:
+        frame = run.primary
+        if kind not in ("validate", "load") or frame is None or frame.isStreaming:
+            return act(run, steps)
+        with sized_shuffles(run.spark, _input_bytes(frame)):
+            return act(run, steps)
+
+    status, millis, result = metrics.timed(sized)
     for step in steps:
         run.metrics.append(
             {
@@ -119,7 +145,8 @@ def _timed_step(run: Run, steps: list[dict[str, Any]]) -> None:
                 "type": kind,
                 "method": step["method"],
                 "status": status,
-                "duration_ms": millis,
+                # checks that share a scan share its time: the first has it
+                "duration_ms": millis if step is steps[0] else 0,
                 "records": result if kind == "load" and status == "SUCCESS" else None,
             }
         )
@@ -127,9 +154,16 @@ def _timed_step(run: Run, steps: list[dict[str, Any]]) -> None:
         raise result
 
 
+def _input_bytes(df: DataFrame) -> int:
+    """Planned size; a frame without an estimate asks for no more partitions."""
+    size = operators.planned_bytes(df)
+    return 0 if size >= MOST_BYTES else size
+
+
 def _store(run: Run, df: DataFrame, config: Mapping[str, Any]) -> None:
     if str(config.get("cache", False)).lower() == "true":
         df = operators.cache(df, config.get("cacheStorageLevel", "MEMORY_AND_DISK"))
+        run.cached.append(df)
     if config.get("registerAs"):
         run.frames[config["registerAs"]] = df
     run.primary = df
@@ -242,7 +276,9 @@ def _transform(run: Run, steps: list[dict[str, Any]]) -> None:
         naming = {key: config[key] for key in ("namespace", "name") if key in config}
         df = operators.to_avro_schema(run.current(), **naming)
     elif method == "evolveAvroSchema":
-        df = operators.evolve(run.current(), config["targetSchema"])
+        names = {"cast": "cast", "targetOrder": "target_order", "useDefaults": "use_defaults"}
+        options = {names[key]: str(config[key]).lower() == "true" for key in names if key in config}
+        df = operators.evolve(run.current(), config["targetSchema"], **options)
     elif method == "repartition":
         df = operators.repartition(run.current(), config["numPartitions"])
     elif method == "repartitionByColumns":
@@ -289,6 +325,7 @@ def _reshape(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
             config.get("aggregateColumn"),
             config.get("aggFunction", "sum"),
             config.get("pivotValues"),
+            config.get("pivotRest"),
         )
     if operation == "unpivot":
         return operators.unpivot(
@@ -300,27 +337,38 @@ def _reshape(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
 def _validate(run: Run, steps: list[dict[str, Any]]) -> None:
     method, config, df = steps[0]["method"], steps[0]["config"], run.current()
     action = config.get("onViolation", "fail")
-    if action not in ("fail", "filter"):
-        raise ValueError(f"onViolation is 'fail' or 'filter': {action!r}")
+    if action not in ACTIONS:
+        raise ValueError(f"onViolation is one of {ACTIONS}: {action!r}")
     if method in ROW_CHECKS:
         checks = [check for step in steps for check in _checks(step)]
-        if action == "filter":
-            run.primary = operators.drop_invalid(df, checks)
+        if action != "fail":
+            _keep(run, steps[0], *operators.quarantine(df, checks))
         elif df.isStreaming:
-            raise ValueError("a stream cannot be counted; set onViolation to 'filter'")
+            raise ValueError("a stream cannot be counted; set onViolation to 'filter' or 'quarantine'")
         else:
             operators.violation_report(df, checks, fail_fast=True)
     elif method == "validateSchema":
-        operators.validate_schema(df, config["expectedColumns"], fail_fast=True)
+        if action == "fail":
+            operators.validate_schema(df, config["expectedColumns"], fail_fast=True)
+        else:
+            _keep(run, steps[0], *operators.split_by_schema(df, config["expectedColumns"]))
     elif method == "validateReferentialIntegrity":
-        referenced = run.frame(config["referencedDataFrame"])
-        operators.validate_references(
-            df, config["foreignKey"], referenced, config["referencedColumn"], fail_fast=True
-        )
+        keys = config["foreignKey"], run.frame(config["referencedDataFrame"]), config["referencedColumn"]
+        if action == "fail":
+            operators.validate_references(df, *keys, fail_fast=True)
+        else:
+            _keep(run, steps[0], *operators.split_references(df, *keys))
     else:
         raise ValueError(f"unknown validation method {method!r}")
 
 
+def _keep(run: Run, step: Mapping[str, Any], valid: DataFrame, rejected: DataFrame) -> None:
+    """Go on with the valid rows; ``quarantine`` registers the others as ``rejectsAs``."""
+    run.primary = valid
+    if step["config"]["onViolation"] == "quarantine":
+        run.frames[step["config"].get("rejectsAs", f"{step['method']}_rejects")] = rejected
+
+
 def _checks(step: Mapping[str, Any]) -> list[quality.Check]:
     method, config = step["method"], step["config"]
     if method == "validateNulls":
@@ -352,7 +400,9 @@ def _load(run: Run, steps: list[dict[str, Any]]) -> int | None:
     elif method == "toS3":
         uri, options = _object_store(run, config)
         file_format = config.get("format", "parquet")
-        sinks.write_files(df, uri, file_format, mode, partition_by, config.get("compression"), **options)
+        sinks.write_files(
+            df, uri, file_format, mode, partition_by, config.get("compression"), _balanced(config), **options
+        )
     elif method == "toDeltaLake":
         sinks.write_table(
             df,
@@ -372,6 +422,11 @@ def _load(run: Run, steps: list[dict[str, Any]]) -> int | None:
     return metrics.observed(observation).get("records", 0) if observation else None
 
 
+def _balanced(config: Mapping[str, Any]) -> bool:
+    """Even files: on request, and unless refused for partitioned loads, whose files else multiply."""
+    return str(config.get("balance", bool(config.get("partitionBy")))).lower() == "true"
+
+
 def _start_stream(run: Run, method: str, config: Mapping[str, Any], df: DataFrame) -> StreamingQuery:
     common = {
         "checkpoint": config.get("checkpointLocation"),
