@@ -1,6 +1,6 @@
 """Registered queries: a DataFrame function and the same result in plain SQL."""
 
-from weir.queries import jobs, quality, relational, storage, streams
+from weir.queries import jobs, quality, relational, steps, storage, streams
 
 REGISTRY = {
     **relational.QUERIES,
@@ -8,4 +8,5 @@ REGISTRY = {
     **storage.QUERIES,
     **streams.QUERIES,
     **jobs.QUERIES,
+    **steps.QUERIES,
 }
