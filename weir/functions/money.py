@@ -16,6 +16,11 @@ def cents_sql(column: str, digits: int = 2) -> str:
     return f"cast(rint(({column}) * {10**digits}) as bigint)"
 
 
+def amount_sql(units: str, digits: int = 2) -> str:
+    """SQL text for a whole number of smallest units as an amount, rounded once."""
+    return f"cast(cast({units} as decimal(20,0)) / {10**digits} as double)"
+
+
 def to_cents(value: Column | str, digits: int = 2) -> Column:
     amount = F.col(value) if isinstance(value, str) else value
     return F.rint(amount * 10**digits).cast("bigint")

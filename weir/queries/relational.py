@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir.functions import cents_sql, exact_sum
+from weir.functions import amount_sql, cents_sql, exact_sum, whole_to_amount
 from weir.operators import (
     aggregate,
     enrich,
@@ -277,7 +277,7 @@ def aggregate_basic(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["l_returnflag", "l_linestatus"],
         {"price": "sum", "l_quantity": "mean", "l_partkey": "count", "l_discount": "min", "l_tax": "max"},
     )
-    return enrich(grouped, {"price_sum": "price_sum / 100"})
+    return enrich(grouped, {"price_sum": amount_sql("price_sum")})
 
 
 def aggregate_exprs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -286,7 +286,7 @@ def aggregate_exprs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["event_type"],
         {
             "total": "count(*)",
-            "amount": f"sum({cents_sql('value')}) / 100",
+            "amount": amount_sql(f"sum({cents_sql('value')})"),
             "first_seen": "date_format(min(ts), 'yyyy-MM-dd HH:mm:ss')",
             "last_seen": "date_format(max(ts), 'yyyy-MM-dd HH:mm:ss')",
         },
@@ -307,7 +307,7 @@ def aggregate_global(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "o_orderkey": "count",
             "o_totalprice": "max",
-            "total": f"sum({cents_sql('o_totalprice')}) / 100",
+            "total": amount_sql(f"sum({cents_sql('o_totalprice')})"),
         },
     )
 
@@ -335,7 +335,7 @@ def pivot_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     priced = enrich(table(spark, sf_dir, "orders"), {"price": cents_sql("o_totalprice")})
     wide = pivot(priced, ["o_orderstatus"], "o_orderpriority", "price", values=PRIORITIES)
     return wide.select(
-        "o_orderstatus", *[(F.col(f"`{p}`") / 100).alias(p) for p in PRIORITIES]
+        "o_orderstatus", *[whole_to_amount(F.col(f"`{p}`")).alias(p) for p in PRIORITIES]
     )
 
 
@@ -434,7 +434,7 @@ def composed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
                 "method": "enrichData",
                 "config": {
                     "columns": {
-                        "amount_sum": "amount_sum / 100",
+                        "amount_sum": amount_sql("amount_sum"),
                         "average": "amount_sum / o_orderkey_count",
                     }
                 },
