@@ -1,0 +1,101 @@
+"""Limits, sizing, kept rejects and released caches."""
+
+import pytest
+from conftest import plan, rows
+from pyspark.sql import functions as F
+
+from weir.functions import whole_to_amount
+from weir.operators import range_checks, violation_samples
+from weir.plans import run_steps
+from weir.session import INITIAL_PARTITIONS, PARTITION_BYTES, sized_shuffles
+from weir.sources import jdbc_read_options, newer_rows_query, split_json
+
+
+def step(kind, method, **config):
+    return {"type": kind, "method": method, "config": config}
+
+
+@pytest.mark.parametrize("limit", [5, 2000])
+def test_samples_are_ranked_before_they_meet(spark, limit):
+    df = spark.range(0, 30_000, 1, 8).selectExpr("id", "id % 3 as v")
+    out = violation_samples(df, range_checks({"v": {"max": 1}}), ["id"], limit)
+    text = plan(out)
+    assert text.count("WindowGroupLimit") >= 1 or text.count("Window ") == 2 or text.count("Window [") == 2
+    assert [r.id for r in out.orderBy("id").collect()] == [3 * i + 2 for i in range(limit)]
+
+
+def test_shuffles_are_sized_and_the_setting_comes_back(spark):
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    with sized_shuffles(spark, 100 * 1024**4) as wanted:
+        assert wanted == 100 * 1024**4 // PARTITION_BYTES == int(spark.conf.get(INITIAL_PARTITIONS))
+    assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+
+
+def test_a_run_sizes_its_own_shuffles(spark, wells, tmp_path, monkeypatch):
+    from weir.plans import composer
+
+    seen = []
+    monkeypatch.setattr(composer, "_input_bytes", lambda df: 50 * PARTITION_BYTES)
+
+    def write(df, *_):
+        seen.append(int(spark.conf.get(INITIAL_PARTITIONS)))
+        df.collect()
+
+    monkeypatch.setattr(composer.sinks, "write_table", write)
+    run_steps(spark, {"steps": [step("load", "toDeltaLake", path=str(tmp_path), tableFormat="parquet")]}, primary=wells)
+    assert seen == [50]
+
+
+def test_newer_rows_reach_the_database_as_a_literal():
+    query = newer_rows_query("shop.orders", "changed", "2024-05-01 00:00:00")
+    options = jdbc_read_options("jdbc:x", query=query, partition_column="id", upper_bound=9)
+    assert options["dbtable"] == "(select * from shop.orders where changed > '2024-05-01 00:00:00') t"
+    assert jdbc_read_options("jdbc:x", query=newer_rows_query("t", "c", "o'clock"))["query"].endswith("> 'o''clock'")
+    assert newer_rows_query("t", "c", None) == "select * from t"
+
+
+def test_malformed_messages_are_kept(spark):
+    texts = ['{"k": 1}', '{"k": "x"}', "{", None, "{}", "[]", '{"k": 2, "z": 3}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, value string")
+    good, bad = split_json(df, "k int", keep=("id",))
+    assert rows(good) == [(0, 1), (4, None), (6, 2)]
+    assert rows(bad) == sorted([(1, texts[1]), (2, "{"), (3, None), (5, "[]")])
+
+
+def test_caches_are_released(spark, wells):
+    steps = {"steps": [step("transform", "filterRows", condition="depth > 0", cache=True)]}
+    kept = run_steps(spark, steps, primary=wells)
+    assert kept.current().storageLevel.useMemory
+    kept.release()
+    assert not kept.current().storageLevel.useMemory and not kept.cached
+    assert not run_steps(spark, steps, primary=wells, release=True).current().storageLevel.useMemory
+
+
+@pytest.mark.parametrize("action, left", [("filter", [(1,), (3,)]), ("quarantine", [(1,), (3,)])])
+def test_schema_and_reference_steps_can_keep_going(spark, action, left):
+    df = spark.createDataFrame([(1, "5"), (2, "five"), (3, None)], "id int, n string")
+    check = step("validate", "validateSchema", expectedColumns=[{"name": "n", "type": "int"}], onViolation=action, rejectsAs="odd")
+    run = run_steps(spark, {"steps": [check]}, primary=df)
+    assert rows(run.current().select("id")) == left
+    assert ("odd" in run.frames) == (action == "quarantine")
+    keys = spark.createDataFrame([(1,), (3,)], "k int")
+    check = step(
+        "validate", "validateReferentialIntegrity", foreignKey="id", referencedDataFrame="keys", referencedColumn="k",
+        onViolation=action, rejectsAs="lost",
+    )
+    run = run_steps(spark, {"steps": [check]}, {"keys": keys}, df)
+    assert rows(run.current().select("id")) == left
+    if action == "quarantine":
+        assert rows(run.frame("lost")) == [(2, "five")]
+
+
+def test_evolve_steps_take_their_options(spark):
+    target = '{"type":"record","name":"R","fields":[{"name":"b","type":"int","default":7},{"name":"a","type":"long"}]}'
+    df = spark.createDataFrame([("4",)], "a string")
+    change = step("transform", "evolveAvroSchema", targetSchema=target, cast=True, targetOrder="true", useDefaults=True)
+    assert [tuple(r) for r in run_steps(spark, {"steps": [change]}, primary=df).current().collect()] == [(7, 4)]
+
+
+def test_large_sums_round_once(spark):
+    df = spark.range(1).select(whole_to_amount(F.lit(9007199254740993)).alias("a"))
+    assert df.first().a == 90071992547409.93
