@@ -217,7 +217,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) ->
     """
     place = F.struct("doc", "th", "pos")
     found = written(map_batches(docs.select("doc", "th", "text"), partial(_index, length), FOUND), "anchors")
-    often = found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # as a table of its own, so that the join can split a common anchor
+    often = written(found.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram"), "common-grams")
     anchored, found = found, written(found.join(often, "gram", "left_semi"), "repeated-anchors")
     discard(anchored)
     runs = written(found.groupBy("gram", "around").agg(F.min(place).alias("sample")), "runs")
