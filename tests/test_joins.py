@@ -122,8 +122,8 @@ def test_theta_join(spark):
 
 def test_self_join_under_two_names(wells):
     out = join_frames([("a", wells), ("b", wells)], ["a.id = b.id - 1"])
-    picked = out.select(F.col("a.name").alias("x"), F.col("b.name").alias("y"))
-    assert rows(picked) == [("Alice", "Bob"), ("Bob", "Charlie")]
+    picked = out.select(F.col("a.label").alias("x"), F.col("b.label").alias("y"))
+    assert rows(picked) == [("mill", "quarry"), ("north", "mill")]
 
 
 def test_input_errors(users, orders):
