@@ -36,3 +36,9 @@ def test_tiles_ties_and_odd_rows(spark):
         assert sorted(map(tuple, got.collect())) == [(q, r, i, max(min(s, 2**63 - 1), -(2**63))) for q, r, i, s in want]
     assert topk.top_k(data.limit(0), "vec_id % 20 = 0", 7).count() == 0
     assert topk.top_k(data, "vec_id < -99", 7).count() == 0
+
+
+def test_query_matches_its_sql(spark):
+    from check_oracles import compare, connect
+
+    assert compare(spark, connect(SF_DIR), SF_DIR, "op7_exact_topk") == []

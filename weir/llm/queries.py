@@ -10,13 +10,13 @@ from weir.queries.tables import table
 
 OP7_SQL = """
 with v as (
-    select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as z
+    select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as z
     from embeddings
     where vec_id is not null and embedding is not null
-      and list_bool_and(list_transform(embedding, x -> coalesce(isfinite(x), false)))
+      and list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
 ), s as (
     select q.vec_id as query_id, c.vec_id,
-        cast(list_sum(list_transform(list_zip(q.z, c.z), p -> p[1] * p[2])) as bigint) as score
+        cast(list_sum(list_transform(list_zip(q.z, c.z), lambda p: p[1] * p[2])) as bigint) as score
     from v q join v c on q.vec_id <> c.vec_id
     where q.vec_id % 20 = 0
 )
