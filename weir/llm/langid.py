@@ -185,7 +185,7 @@ def _predict(model: Model, batch: pa.RecordBatch) -> dict:
     at = 0
     while at < len(texts) and model.languages:  # so many texts at a time that memory stays bounded
         to, size = at, 0
-        while to < len(texts) and (to == at or size + len(texts[to]) < 1_000_000):
+        while to < len(texts) and (to == at or size + len(texts[to]) < 200_000):
             size += len(texts[to])
             to += 1
         shares[at:to] = mixtures(*segment_scores(model, [t.replace("\x00", " ") for t in texts[at:to]]), to - at)

@@ -75,7 +75,7 @@ def shingle_set(text: str | None, width: int, known: WordHashes) -> np.ndarray:
     words = (text or "").encode().lower().split()  # bytes: A-Z only, ASCII white space
     if not words:
         return np.zeros(0, np.uint64)
-    if len(known) > 500_000:
+    if len(known) > 200_000:
         known.clear()
     hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     span = min(width, len(words))

@@ -39,7 +39,7 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 BINS = 64
-KNOWN = 300_000  # parts a task remembers at a time
+KNOWN = 200_000  # parts a task remembers at a time
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 # The tokenizer splits at white space and then into letters, single digits and
