@@ -146,18 +146,20 @@ HASHED = "rid long, vec_id long, vec array<double>, dim int, table int, bucket l
 
 
 def _rank(k: int, asked: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
-    """The k best of a block for each query of a block; ties to the smaller id."""
+    """The k best of a block for each query of a block, as one list a query; ties to the smaller id."""
     if not len(asked) or not len(near):
-        return pd.DataFrame({c: pd.Series(dtype=d) for c, d in (("q", "int64"), ("rid", "int64"), ("vec_id", "int64"), ("score", "float64"))})
+        return pd.DataFrame({"q": pd.Series(dtype="int64"), "hits": pd.Series(dtype="object")})
     near = near.sort_values(["vec_id", "rid"])
-    scores = _unit(np.stack(asked["q_vec"].to_list())) @ _unit(np.stack(near["vec"].to_list())).T
+    a, b = np.stack(asked["q_vec"].to_list()), np.stack(near["vec"].to_list())
+    scores = _unit(a) @ _unit(b).T
     # the product rounds differently in differently shaped blocks: leave room, rank exactly later
     k = min(k + 3, len(near))
     best = np.argsort(-scores, axis=1, kind="stable")[:, :k] if len(near) < 4 * k else np.argpartition(-scores, k - 1, axis=1)[:, :k]
-    at = np.repeat(np.arange(len(asked)), k)
-    pos = best.ravel()
-    a, b = np.stack(asked["q_vec"].to_list()), np.stack(near["vec"].to_list())
-    return pd.DataFrame({"q": asked["q"].to_numpy()[at], "rid": near["rid"].to_numpy()[pos], "vec_id": near["vec_id"].to_numpy()[pos], "score": cosine(a[at], b[pos])})
+    at, pos = np.repeat(np.arange(len(asked)), k), best.ravel()
+    less = (-cosine(a[at], b[pos])).tolist()
+    ids, rows = near["vec_id"].to_numpy()[pos].tolist(), near["rid"].to_numpy()[pos].tolist()
+    hits = [{"less": x, "vec_id": i, "rid": r} for x, i, r in zip(less, ids, rows)]
+    return pd.DataFrame({"q": asked["q"].to_numpy(), "hits": [hits[n : n + k] for n in range(0, len(hits), k)]})
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -205,10 +207,11 @@ def nearest(embeddings: DataFrame, queries: str, k: int, success: float = SUCCES
         *[F.col(c).alias(f"q_{c}") for c in key], every("near_blocks").alias("q_near"), spread("asked_blocks").alias("q_asked"), F.col("rid").alias("q"), F.col("vec").alias("q_vec")
     )
     groups = ask.groupBy("q_dim", "q_table", "q_bucket", "q_near", "q_asked").cogroup(near.groupBy(*key, "near", "asked"))
-    hits = groups.applyInPandas(partial(_rank, k + 1), "q long, rid long, vec_id long, score double")
-    # a candidate met in several tables counts once; then the best of each query
-    best = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id", "rid")
-    top = hits.dropDuplicates(["q", "rid"]).withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1)
+    hits = groups.applyInPandas(partial(_rank, k + 1), "q long, hits array<struct<less:double,vec_id:long,rid:long>>")
+    # lists of the visited buckets, in order; a candidate met in several tables follows itself
+    merged = hits.groupBy("q").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("h"))
+    once = F.expr(f"slice(filter(h, (x, i) -> i = 0 or x.rid <> h[i - 1].rid), 1, {k + 1})")
+    top = merged.select("q", F.inline(once)).select("q", "rid", "vec_id", (-F.col("less")).alias("score"))
     owners = asked.join(first.withColumnRenamed("rid", "q"), same).select("q", F.col("rid").alias("own"), F.col("vec_id").alias("query_id"))
     answers = owners.join(top, "q").filter("rid <> own")
     rank = F.row_number().over(Window.partitionBy("own").orderBy(F.col("score").desc(), "vec_id", "rid"))
