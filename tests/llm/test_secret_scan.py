@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from conftest import SF_DIR
@@ -67,3 +68,44 @@ def test_redaction_masks_spans_and_keeps_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans int")
     got = sorted((tuple(r) for r in S.redact_secrets(docs).collect()), key=repr)
     assert got == [(1, "a [SECRET] [SECRET] z", 5), (1, "b [SECRET]", 6), (2, None, 7), (3, "clean", 8)]
+
+
+def linked_brute(parts):
+    """All pairs of the parts of one text, each against each."""
+    out = []
+    for key, scope, kind, start, end in parts:
+        near = {
+            S.ROLE[k]
+            for other, sc, k, s, e in parts
+            if (other, sc) == (key, scope) and s - end <= S.REACH and start - e <= S.REACH and not (s <= start and end <= e)
+        } - {S.ROLE[kind]}
+        wanted = {"secret": near & {"id", "endpoint"}, "id": "secret" in near, "endpoint": {"secret", "id"} <= near}
+        if kind in ("weak_secret", "weak_id", "endpoint") and wanted[S.ROLE[kind]]:
+            out.append((key, kind, start, end))
+    return sorted(out)
+
+
+def test_links_at_any_offset_length_and_gap(spark):
+    rng = random.Random(4)
+    parts = []
+    for n in range(3000):
+        at = rng.randrange(2000)
+        for kind in rng.sample(list(S.ROLE), rng.choice((2, 2, 3))):
+            size = rng.choice((rng.randint(4, 120), rng.randint(250, 1500)))
+            parts.append((f"t{n}", 0, kind, at, at + size))
+            at += size + rng.choice((1, 299, 300, 301, rng.randint(0, 310)))
+    data = spark.createDataFrame(parts, "key string, scope long, kind string, start long, end long")
+    by_text = {}
+    for p in parts:
+        by_text.setdefault(p[0], []).append(p)
+    want = sorted(x for own in by_text.values() for x in linked_brute(own))
+    assert sorted(tuple(r) for r in S.linked_parts(data).collect()) == want
+
+
+def test_a_long_token_before_its_identifier(spark):
+    token, at = "auth: " + "k." * 450, range(0, 300, 60)
+    for lead in at:
+        text = "x" * lead + " " + token + " user: anna"
+        assert spans(spark, text) == f"weak_secret:{lead + 1}:{lead + 1 + len(token)},weak_id:{lead + 2 + len(token)}:{lead + 12 + len(token)}"
+    docs = spark.createDataFrame([(1, token + " user: anna")], "doc_id long, text string")
+    assert S.redact_secrets(docs).first().text == "[SECRET] [SECRET]"

@@ -11,8 +11,10 @@ and ``endpoint`` only when the complementary part stands in the same scope:
 
 A scope is a paragraph (text between blank lines). Parts are linked by an
 interval join: two parts of one scope that are at most ``reach`` code points
-apart. The join runs on bins of ``reach`` code points, so a part meets only its
-neighbours, however long the text.
+apart. The join runs on bins of ``reach`` code points: every bin that the one part
+touches and every bin that the other touches when widened by the reach, so two
+parts within reach share a bin and a part meets only its neighbours, however
+long the text.
 
 NULL and empty texts have no parts. Every row is scanned by itself: repeated
 rows and repeated ids give as many result rows. A NULL ``doc_id`` stays NULL.
@@ -131,14 +133,15 @@ def linked_parts(parts: DataFrame, reach: int = REACH) -> DataFrame:
     """
     role = F.create_map(*[F.lit(x) for pair in ROLE.items() for x in pair])
     parts = parts.withColumn("role", role[F.col("kind")])
-    first_bin = F.floor(F.col("start") / reach)
+    own_bins = F.explode(F.sequence(F.floor(F.col("start") / reach), F.floor(F.col("end") / reach)))
     near = parts.select(
         "key", "scope", F.col("role").alias("other"), F.col("start").alias("o_start"), F.col("end").alias("o_end"),
         # every bin that the interval, widened by the reach, touches
         F.explode(F.sequence(F.floor((F.col("start") - reach) / reach), F.floor((F.col("end") + reach) / reach))).alias("bin"),
     )
     weak = parts.filter(F.col("kind").isin("weak_secret", "weak_id", "endpoint"))
-    pairs = weak.withColumn("bin", first_bin).join(near, ["key", "scope", "bin"]).filter(
+    # a pair that meets in several bins is one for the aggregate below
+    pairs = weak.withColumn("bin", own_bins).join(near, ["key", "scope", "bin"]).filter(
         (F.col("role") != F.col("other"))
         & (F.col("o_start") - F.col("end") <= reach)
         & (F.col("start") - F.col("o_end") <= reach)
