@@ -57,3 +57,35 @@ def test_recall_of_many_buckets(spark, clusters):
         got.setdefault(r.query_id, set()).add(r.vec_id)
     recall = np.mean([len(got[50 * i] & set(map(int, w))) / 5 for i, w in enumerate(want)])
     assert recall >= 0.9
+
+
+def found_and_wanted(spark, data, **options):
+    df = spark.createDataFrame(list(enumerate(data.tolist())), "vec_id long, embedding array<double>")
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    got = {i: [] for i in range(0, len(data), 50)}
+    for r in ann.nearest(df, "vec_id % 50 = 0", 5, **options).collect():
+        got[r.query_id].append(r.vec_id)
+    scores = unit[::50] @ unit.T
+    scores[np.arange(len(scores)), list(got)] = -9
+    return got, dict(zip(got, np.argsort(-scores, axis=1)[:, :5].tolist()))
+
+
+def test_near_copies_do_not_shorten_the_search_of_others(spark):
+    rng = np.random.default_rng(9)
+    n = 6000
+    data = rng.standard_normal((n, 24))
+    copies = rng.random(n) < 0.55
+    data[copies] = rng.standard_normal((3, 24))[rng.integers(0, 3, copies.sum())] + 0.002 * rng.standard_normal((copies.sum(), 24))
+    got, want = found_and_wanted(spark, data)
+    assert {len(ids) for ids in got.values()} == {5}
+    for group in (False, True):
+        asked = [i for i in got if copies[i] == group]
+        assert np.mean([len(set(got[i]) & set(want[i])) / 5 for i in asked]) >= 0.9
+
+
+def test_too_few_candidates_are_scanned_for(spark):
+    rng = np.random.default_rng(3)
+    data = 4 + rng.standard_normal((3000, 8))  # a cone
+    data[::50] = rng.standard_normal((60, 8))  # queries apart from it
+    got, _ = found_and_wanted(spark, data, success=0.0, tables=1)
+    assert {len(ids) for ids in got.values()} == {5}

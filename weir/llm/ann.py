@@ -6,8 +6,10 @@ order by cosine. Each of ``TABLES`` tables hashes with k functions
 r the projections differ by N(0, r * r). So the chance that it lies in a given
 bucket is a product of normal probabilities, and a query visits the buckets
 around its own, in all tables together, in falling order of that chance, until
-the estimated chance to have met the neighbour reaches ``success``. r is the
-distance of the k-th neighbour in a bounded sample, which errs to the far side.
+the estimated chance to have met the neighbour reaches ``success``. r is each
+query's own distance to its k-th neighbour in a bounded sample, which errs to the
+far side; so groups of near copies shorten the search of their own members only.
+Queries that met too few candidates are compared with all vectors.
 k grows with the table so that buckets hold about ``BUCKET`` rows.
 
 Candidates of all tables are ranked by their exact cosine on the given vectors
@@ -44,19 +46,24 @@ MOST_FUNCTIONS = 8  # 3 ** 8 buckets around a query
 SUCCESS = 0.97
 BLOCK = 1024
 SAMPLE = 4096
-ASKED = 256
 
 
 class Hashing:
     """The functions for vectors of one length."""
 
-    def __init__(self, dim: int, rows: int, radius: float, success: float, tables: int = TABLES):
+    def __init__(self, dim: int, rows: int, sample: np.ndarray, near: int, success: float, tables: int = TABLES):
         self.k = min(max(0, round(math.log(rows / BUCKET, 4))), MOST_FUNCTIONS) if rows > 4 * BUCKET else 0
         rng = np.random.default_rng([7, dim])
         self.tables = tables if self.k else 1
         self.lines = rng.standard_normal((self.tables, self.k, dim))
         self.offsets = rng.uniform(0, WIDTH, (self.tables, self.k))
-        self.radius, self.success = max(radius, 1e-9), success
+        self.sample, self.near, self.success = sample, near, success
+
+    def radius(self, unit: np.ndarray) -> np.ndarray:
+        """Each row's distance to its ``near``-th neighbour in the sample; the row itself may be the 0-th."""
+        at = min(self.near, len(self.sample) - 1)
+        near = np.partition(2 - 2 * unit @ self.sample.T, at, axis=1)[:, at]
+        return np.sqrt(np.maximum(near, 1e-12))
 
     def places(self, unit: np.ndarray) -> np.ndarray:
         """Rows x tables x functions, in units of a cell."""
@@ -74,7 +81,7 @@ class Hashing:
         places = self.places(unit)
         own = np.floor(places)
         moves = np.array(list(itertools.product((-1, 0, 1), repeat=self.k)), np.int64).reshape(3**self.k, self.k)
-        spread = self.radius / WIDTH
+        spread = (self.radius(unit) / WIDTH)[:, None, None, None]
         # chance that the neighbour's cell is 1 below, the same, or 1 above, per function
         edges = own[..., None] + np.arange(-1, 3) - places[..., None]
         chance = np.diff(_normal(edges / spread), axis=-1)
@@ -169,17 +176,33 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return dot / (np.sqrt(left) * np.sqrt(right))
 
 
-def _radius(vectors: DataFrame, k: int) -> dict[int, float]:
-    """Per vector length the k-th neighbour's distance within a bounded sample."""
+def _samples(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """Per vector length a bounded sample, scaled to length 1."""
     out = {}
     for dim in [r.dim for r in vectors.select("dim").distinct().collect()]:
         rows = vectors.filter(F.col("dim") == dim).select("rid", "vec").orderBy(F.xxhash64("rid")).limit(SAMPLE).collect()
-        unit = _unit(np.array([r.vec for r in rows]).reshape(len(rows), dim))
-        near = np.sort(2 - 2 * unit[:ASKED] @ unit.T, axis=1)[:, min(k, len(rows) - 1)]
-        out[dim] = float(np.sqrt(np.maximum(np.median(near), 0)))
+        out[dim] = _unit(np.array([r.vec for r in rows]).reshape(len(rows), dim))
     return out
 
 
+def _ranked(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
+    """(q, h): the k + 1 best rows of ``index`` in the buckets that a query of ``probes`` visits, in order."""
+    key = ["dim", "table", "bucket"]
+    blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+    cuts = written(blocks(index, "near_blocks").join(blocks(probes, "asked_blocks"), key), "ann-cuts")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    spread = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
+    near = index.join(cuts, key).select(*key, spread("near_blocks").alias("near"), every("asked_blocks").alias("asked"), "rid", "vec_id", "vec")
+    ask = probes.join(cuts, key).select(
+        *[F.col(c).alias(f"q_{c}") for c in key], every("near_blocks").alias("q_near"), spread("asked_blocks").alias("q_asked"), F.col("rid").alias("q"), F.col("vec").alias("q_vec")
+    )
+    groups = ask.groupBy("q_dim", "q_table", "q_bucket", "q_near", "q_asked").cogroup(near.groupBy(*key, "near", "asked"))
+    hits = groups.applyInPandas(partial(_rank, k + 1), "q long, hits array<struct<less:double,vec_id:long,rid:long>>")
+    # lists of the visited buckets, in order; a candidate met in several tables follows itself
+    merged = hits.groupBy("q").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("h"))
+    return merged.select("q", F.expr(f"slice(filter(h, (x, i) -> i = 0 or x.rid <> h[i - 1].rid), 1, {k + 1})").alias("h"))
+
+
 def nearest(embeddings: DataFrame, queries: str, k: int, success: float = SUCCESS, tables: int = TABLES) -> DataFrame:
     """The ``k`` nearest found for every row for which ``queries`` holds: (query_id, rank, vec_id, score)."""
     vectors = valid_vectors(embeddings, "ann-vectors").filter("dim > 0 and exists(vec, x -> x <> 0)")
@@ -188,30 +211,27 @@ def nearest(embeddings: DataFrame, queries: str, k: int, success: float = SUCCES
     turn = F.row_number().over(Window.partitionBy(*same).orderBy("vec_id", "rid"))
     kept = written(keyed.withColumn("turn", turn).filter(F.col("turn") <= k + 1).drop("turn"), "ann-rows")
     sizes = {r.dim: r["count"] for r in kept.groupBy("dim").count().collect()}
-    radius = _radius(kept, k) if sizes else {}
-    hashings = {dim: Hashing(dim, n, radius[dim], success, tables) for dim, n in sizes.items()}
+    samples = _samples(kept) if sizes else {}
+    hashings = {dim: Hashing(dim, n, samples[dim], k, success, tables) for dim, n in sizes.items()}
 
     asked = keyed.filter(queries)
     # the first row of equal queries searches for all of them
     first = asked.groupBy(*same).agg(F.min("rid").alias("rid"))
     searched = asked.join(first.select("rid"), "rid").select("rid", "vec_id", "vec", "dim")
-    key = ["dim", "table", "bucket"]
-    index = written(map_batches(kept.select("rid", "vec_id", "vec", "dim"), partial(_index, hashings), HASHED), "ann-index")
+    rows = kept.select("rid", "vec_id", "vec", "dim")
+    index = written(map_batches(rows, partial(_index, hashings), HASHED), "ann-index")
     probes = written(map_batches(searched, partial(_probe, hashings), HASHED), "ann-probes")
-    blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
-    cuts = written(blocks(index, "near_blocks").join(blocks(probes, "asked_blocks"), key), "ann-cuts")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    spread = lambda n: F.pmod(F.xxhash64("rid"), F.col(n)).cast("int")
-    near = index.join(cuts, key).select(*key, spread("near_blocks").alias("near"), every("asked_blocks").alias("asked"), "rid", "vec_id", "vec")
-    ask = probes.join(cuts, key).select(
-        *[F.col(c).alias(f"q_{c}") for c in key], every("near_blocks").alias("q_near"), spread("asked_blocks").alias("q_asked"), F.col("rid").alias("q"), F.col("vec").alias("q_vec")
-    )
-    groups = ask.groupBy("q_dim", "q_table", "q_bucket", "q_near", "q_asked").cogroup(near.groupBy(*key, "near", "asked"))
-    hits = groups.applyInPandas(partial(_rank, k + 1), "q long, hits array<struct<less:double,vec_id:long,rid:long>>")
-    # lists of the visited buckets, in order; a candidate met in several tables follows itself
-    merged = hits.groupBy("q").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("h"))
-    once = F.expr(f"slice(filter(h, (x, i) -> i = 0 or x.rid <> h[i - 1].rid), 1, {k + 1})")
-    top = merged.select("q", F.inline(once)).select("q", "rid", "vec_id", (-F.col("less")).alias("score"))
+    found = written(_ranked(index, probes, k), "ann-found")
+    # where the visited buckets held too few rows, every row is a candidate
+    wanted = kept.groupBy("dim").agg(F.least(F.count("*"), F.lit(k + 1)).alias("wanted"))
+    met = found.select(F.col("q").alias("rid"), F.size("h").alias("met"))
+    short = searched.join(wanted, "dim").join(met, "rid", "left").filter("coalesce(met, 0) < wanted")
+    short = written(short.select("rid", "vec_id", "vec", "dim"), "ann-short")
+    if not short.isEmpty():
+        one = {"table": F.lit(-1), "bucket": F.lit(0).cast("long")}
+        scanned = _ranked(rows.withColumns(one), short.withColumns(one), k)
+        found = found.join(short.select(F.col("rid").alias("q")), "q", "left_anti").union(scanned)
+    top = found.select("q", F.inline("h")).select("q", "rid", "vec_id", (-F.col("less")).alias("score"))
     owners = asked.join(first.withColumnRenamed("rid", "q"), same).select("q", F.col("rid").alias("own"), F.col("vec_id").alias("query_id"))
     answers = owners.join(top, "q").filter("rid <> own")
     rank = F.row_number().over(Window.partitionBy("own").orderBy(F.col("score").desc(), "vec_id", "rid"))
