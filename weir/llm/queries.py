@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import ann, html_text, langid, mixing, near_dups, packing, pii, repeats, secret_scan, topk
+from weir.llm import ann, collocations, html_text, langid, mixing, near_dups, packing, pii, repeats, secret_scan, topk
 from weir.queries.tables import table
 
 
@@ -25,6 +25,59 @@ from s qualify rank <= 20
 """
 
 
+OP13_SQL = r"""
+with texts as (
+    select coalesce(lang, 'und') as lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+), pieces as (
+    select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from texts
+), worded as (
+    select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces
+), grams as (
+    select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase, w[i] as head, w[i + k - 1] as tail,
+        array_to_string(w[i : i + k - 2], ' ') as front, array_to_string(w[i + 1 : i + k - 1], ' ') as rest
+    from (select lang, w, unnest(range(1, len(w) + 1)) as i from worded where len(w) > 0), (values (1), (2), (3)) as sizes(k)
+    where i + k - 1 <= len(w)
+), f as (
+    select lang, k, phrase, any_value(head) as head, any_value(tail) as tail, any_value(front) as front,
+        any_value(rest) as rest, count(*) as a
+    from grams group by all
+), totals as (
+    select lang, sum(a)::bigint as n from f where k = 1 group by lang
+), candidates as (
+    select * from f where k > 1 and a >= 10
+), cuts as (
+    select c.lang, c.k, c.phrase, c.a, 1 as cut, x.a as l, y.a as r
+    from candidates c
+    join f x on x.lang = c.lang and x.k = 1 and x.phrase = c.head
+    join f y on y.lang = c.lang and y.k = c.k - 1 and y.phrase = c.rest
+    union all
+    select c.lang, c.k, c.phrase, c.a, 2, x.a, y.a
+    from candidates c
+    join f x on x.lang = c.lang and x.k = 2 and x.phrase = c.front
+    join f y on y.lang = c.lang and y.k = 1 and y.phrase = c.tail
+    where c.k = 3
+), scored as (
+    select *, (1000000::hugeint * a * a // (l::hugeint * r))::bigint as score
+    from cuts
+    qualify row_number() over (partition by lang, k, phrase order by score, cut) = 1
+), held as (
+    select lang, phrase, max(a) as longer
+    from (
+        select lang, front as phrase, a from candidates where k = 3
+        union all select lang, rest, a from candidates where k = 3
+    ) group by lang, phrase
+), kept as (
+    select s.* from scored s left join held h on h.lang = s.lang and h.phrase = s.phrase and s.k = 2
+    where h.longer is null or 100 * h.longer < 50 * s.a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept join totals using (lang)
+qualify rank <= 2000
+"""
+
+
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
@@ -65,6 +118,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {
     "op1_html_text": (op1_html_text, None),
     "op2_language_id": (op2_language_id, None),
@@ -76,4 +133,5 @@ REGISTRY = {
     "op8_repeats": (op8_repeats, None),
     "op9_ann": (op9_ann, None),
     "op10_pii": (op10_pii, None),
+    "op13_collocations": (op13_collocations, OP13_SQL),
 }
