@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import ann, collocations, html_text, langid, mixing, near_dups, packing, pii, repeats, secret_scan, topk
+from weir.llm import ann, collocations, html_text, langid, mixing, near_dups, packing, pii, repeats, secret_scan, topk, whitening
 from weir.queries.tables import table
 
 
@@ -118,6 +118,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -133,5 +137,6 @@ REGISTRY = {
     "op8_repeats": (op8_repeats, None),
     "op9_ann": (op9_ann, None),
     "op10_pii": (op10_pii, None),
+    "op12_whitening": (op12_whitening, None),
     "op13_collocations": (op13_collocations, OP13_SQL),
 }
