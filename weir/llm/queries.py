@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weir.llm import ann, collocations, html_text, langid, mixing, near_dups, packing, pii, repeats, secret_scan, topk, whitening
+from weir.llm import ann, collocations, html_text, langid, mixing, near_dups, packing, pii, repeats, secret_scan, topk, vector_dups, whitening
 from weir.queries.tables import table
 
 
@@ -25,6 +25,29 @@ from s qualify rank <= 20
 """
 
 
+OP11_SQL = """
+with recursive v as (
+    select vec_id, list_transform(embedding, lambda x: cast(x as double)) as z
+    from embeddings
+    where embedding is not null
+      and coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), false)
+      and coalesce(list_bool_or(list_transform(embedding, lambda x: coalesce(x <> 0, false))), false)
+), pairs as (
+    select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.z) = len(b.z)
+    where list_cosine_similarity(a.z, b.z) >= 0.9
+), reached(a, b) as (
+    select a, b from pairs
+    union
+    select r.a, p.b from reached r join pairs p on p.a = r.b
+), found as (
+    select e.vec_id, coalesce(n.links, 0) as n_links, least(e.vec_id, coalesce(c.least, e.vec_id)) as component_id
+    from embeddings e
+    left join (select a, count(*) as links from pairs group by a) n on n.a = e.vec_id
+    left join (select a, min(b) as least from reached group by a) c on c.a = e.vec_id
+)
+select vec_id, n_links, component_id, vec_id = component_id as kept from found
+"""
+
 OP13_SQL = r"""
 with texts as (
     select coalesce(lang, 'und') as lang,
@@ -118,6 +141,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dups.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
 
@@ -137,6 +164,7 @@ REGISTRY = {
     "op8_repeats": (op8_repeats, None),
     "op9_ann": (op9_ann, None),
     "op10_pii": (op10_pii, None),
+    "op11_embedding_dups": (op11_embedding_dups, OP11_SQL),
     "op12_whitening": (op12_whitening, None),
     "op13_collocations": (op13_collocations, OP13_SQL),
 }
