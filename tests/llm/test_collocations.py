@@ -80,6 +80,8 @@ def test_small_tasks_and_long_texts(spark, corpus, monkeypatch):
     """Stretches of a few bytes, short word lists and early hand-over give the same counts."""
     monkeypatch.setattr(C, "STRETCH", 64)
     monkeypatch.setattr(C, "HELD", 20)
+    monkeypatch.setattr(C, "LISTED", 30)
+    monkeypatch.setattr(C, "BUCKETS", 10)  # most buckets are full
     rows = [("xx", ". ".join(t or "" for _, t in corpus)), *corpus[:50]]
     assert sorted(map(tuple, C.collocations(frame(spark, rows), 20).collect())) == brute(rows, 20)
     monkeypatch.setattr(C, "BITS", 8)

@@ -5,7 +5,10 @@ into words ``[^\\x20\\x09]+``. All is per language. A phrase with count ``a`` th
 cut into parts with counts ``l`` and ``r`` scores ``floor(1000000 a a / (l r))``; its
 lowest cut counts.
 
-Phrases grow from their prefixes. The counts of words and word pairs give every
+Phrases grow from their prefixes. A first pass adds up words and pairs in
+``2 ** BUCKETS`` buckets of a hash; only those whose bucket holds ``least`` can be
+frequent, so only they are counted one by one (their bitmap, 16 MiB, is
+broadcast). The counts of words and word pairs give every
 pair a bound, ``floor(1000000 f(pair) / f(first word))``: no phrase that begins with
 the pair, nor the pair itself, scores more, as a count is never above those of
 its parts. Pairs are expanded in falling order of that bound: one pass over the
@@ -27,37 +30,56 @@ no rows. Repeated rows count again. Columns other than lang and text are ignored
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weir.llm.common import written
+from weir.llm.near_dups import mixed
 
 TO_PIECES = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 STRETCH = 1 << 22  # bytes of text whose words a task holds at once
-HELD = 1 << 21  # distinct phrases that a task holds before it hands them on
-BITS = 21  # of a word's number; a task starts a new list of words beyond
+HELD = 1 << 20  # distinct phrases that a task holds before it hands them on
+BITS = 21  # of a word's number
+LISTED = 1 << 18  # words that a task knows before it starts a new list
+BUCKETS = 27
 OPEN = 1 << 17  # pairs that one pass over the corpus opens
 LEVELS = 1000  # steps of the bound
 UNIT = 1_000_000
 COUNTS = "lang string, w1 string, w2 string, w3 string, n long"
 
 
+class Hashes(dict):
+    """Hashes of words, forgotten when there are many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= LISTED:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word) if word != b"\xff" else 0
+        return value
+
+
 class Words(dict):
-    """Numbers of words from 1; 0 stands between pieces."""
+    """Numbers of words from 1, and their hashes; 0 stands between pieces."""
 
     def __init__(self, first: list[bytes] = ()):
         super().__init__({b"\xff": 0})  # no byte of UTF-8
-        self.names = [b"", *first]
-        self.update(zip(first, range(1, len(first) + 1)))
+        self.names, self.hashes = [b""], array("Q", [0])
+        for word in first:
+            self[word]
+        self.given = len(self.names)
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.names)
         self.names.append(word)
+        self.hashes.append(xxhash.xxh3_64_intdigest(word))
         return number
 
 
@@ -91,16 +113,27 @@ def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return codes[first], np.add.reduceat(counts[order], first)
 
 
-def words_and_pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and counts of all words, of each word and of each pair; places not used are 0."""
+def buckets(lang: str, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each word, and of each pair of neighbours."""
+    seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))
+    step = np.uint64(0x9E3779B97F4A7C15)
+    first = mixed(hashes ^ seed)
+    second = mixed(first[:-1] * step + hashes[1:])
+    shift = np.uint64(64 - BUCKETS)
+    return (first >> shift).astype(np.int32), (second >> shift).astype(np.int32)
+
+
+def frequent_only(lang: str, bitmap: np.ndarray, words: Words, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and counts of all words together, and of the words and pairs whose bucket is in the bitmap."""
+    one, two = buckets(lang, np.frombuffer(words.hashes, np.uint64)[ids])
+    marked = lambda at: (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
     a, b = ids[:-1], ids[1:]
-    pairs = ((a << 2 * BITS) | (b << BITS))[(a > 0) & (b > 0)]
-    single = ids[ids > 0]
-    codes, counts = np.unique(np.concatenate([pairs, single << 2 * BITS]), return_counts=True)
-    return np.r_[0, codes], np.r_[len(single), counts]
+    pairs = ((a << 2 * BITS) | (b << BITS))[(a > 0) & (b > 0) & marked(two)]
+    codes, counts = np.unique(np.concatenate([pairs, ids[(ids > 0) & marked(one)] << 2 * BITS]), return_counts=True)
+    return np.r_[0, codes], np.r_[np.count_nonzero(ids), counts]
 
 
-def triples_with(open_pairs: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def triples_with(open_pairs: np.ndarray, words: Words, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes and counts of the phrases of three words that hold one of ``open_pairs`` (sorted codes)."""
     pairs = (ids[:-1] << BITS) | ids[1:]
     at = np.minimum(np.searchsorted(open_pairs, pairs), len(open_pairs) - 1)
@@ -131,7 +164,7 @@ class Tally:
                     yield from self.add(some, times * sign)
                 return
             ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
-        codes, counts = self.count(ids if len(ids) > 2 else np.r_[ids, 0, 0])
+        codes, counts = self.count(self.words, ids if len(ids) > 2 else np.r_[ids, 0, 0])
         self.parts.append((codes, sign * counts))
         self.size += len(codes)
         if self.size > 2 * HELD:
@@ -140,6 +173,9 @@ class Tally:
             if self.size > HELD:
                 yield from self.rows()
 
+    def learned(self) -> int:
+        return len(self.words.names) - self.words.given
+
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         codes, counts = (np.concatenate([np.zeros(0, np.int64), *[p[i] for p in self.parts]]) for i in range(2))
         return summed(codes, counts)
@@ -157,21 +193,25 @@ class Tally:
         self.clear()
 
 
+def _texts_by_lang(batch: pa.RecordBatch) -> dict[str, list[bytes]]:
+    out = defaultdict(list)
+    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+        out[lang].append(text)
+    return out
+
+
 def _tallied(counter: Callable[[str], tuple[list[bytes], Callable]], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tallies: dict[str, Tally] = {}
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        of_lang = defaultdict(list)
-        for lang, text in zip(langs, texts):
-            of_lang[lang].append(text)
-        for lang, own in of_lang.items():
+        for lang, own in _texts_by_lang(batch).items():
             if lang not in tallies:
                 tallies[lang] = Tally(lang, *counter(lang))
             for stretch in stretches(own):
                 yield from tallies[lang].add(tokens_of(stretch))
-        while sum(t.size for t in tallies.values()) > 2 * HELD:  # many languages in one task
-            yield from max(tallies.values(), key=lambda t: t.size).rows()
+            while sum(t.size for t in tallies.values()) > 2 * HELD:
+                yield from max(tallies.values(), key=lambda t: t.size).rows()
+            while sum(t.learned() for t in tallies.values()) > LISTED:
+                yield from max(tallies.values(), key=Tally.learned).rows()
     for tally in tallies.values():
         yield from tally.rows()
 
@@ -183,15 +223,50 @@ def _counted(rows: DataFrame, counter: Callable, least: int, label: str) -> Data
     return written(whole.filter((F.col("n") >= least) | F.col("w1").isNull()), label)
 
 
-def _pair_counter(lang: str):
-    return [], words_and_pairs
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known, parts, size = Hashes(), [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        return summed(*(np.concatenate([p[i] for p in parts]) for i in range(2)))
+
+    for batch in batches:
+        for lang, own in _texts_by_lang(batch).items():
+            for stretch in stretches(own):
+                tokens = tokens_of(stretch)
+                hashes = np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
+                one, two = buckets(lang, hashes)
+                both = np.concatenate([one[hashes > 0], two[(hashes[:-1] > 0) & (hashes[1:] > 0)]])
+                parts.append(np.unique(both, return_counts=True))
+                size += len(parts[-1][0])
+                if size > 2 * HELD:
+                    parts = [merged()]
+                    size = len(parts[0][0])
+                    if size > HELD:
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, parts[0])), ["bucket", "n"])
+                        parts, size = [], 0
+    if parts:
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, merged())), ["bucket", "n"])
+
+
+def _bitmap(rows: DataFrame, least: int) -> np.ndarray:
+    """A bit for each bucket that holds ``least`` words and pairs; of a fixed size."""
+    full = rows.mapInArrow(_bucket_counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    bits = full.groupBy((F.col("bucket") / 32).cast("int").alias("at")).agg(F.expr("bit_or(shiftleft(1L, bucket % 32))").alias("bits"))
+    found = bits.toArrow()
+    out = np.zeros(1 << BUCKETS - 5, "<u4")
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+def _pair_counter(bitmap, lang: str):
+    return [], partial(frequent_only, lang, bitmap.value)
 
 
 def _triple_counter(opened, lang: str):
     words, codes = opened.value.get(lang, ([], None))
     if codes is None:
-        return [], lambda ids: (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    return words, lambda ids: triples_with(codes, ids)
+        return [], lambda words, ids: (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return words, partial(triples_with, codes)
 
 
 def _packed(pairs: list) -> dict[str, tuple[list[bytes], np.ndarray]]:
@@ -265,7 +340,8 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, share: int =
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text").filter("text is not null")
-    grams = _counted(rows, _pair_counter, least, "grams")
+    bitmap = spark.sparkContext.broadcast(_bitmap(rows, least))
+    grams = _counted(rows, partial(_pair_counter, bitmap), least, "grams")
     pairs = written(_scored_pairs(grams), "pairs")
     shape: dict[str, list[int]] = defaultdict(lambda: [0] * (LEVELS + 1))
     for r in pairs.groupBy("lang", "level").count().collect():  # at most LEVELS + 1 a language
@@ -282,7 +358,7 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, share: int =
         for i in range(passes):
             part = opened.filter(F.pmod(F.xxhash64("lang", "w1", "w2"), F.lit(passes)) == i)
             shared = spark.sparkContext.broadcast(_packed(part.select("lang", "w1", "w2").collect()))
-            triples.append(_counted(here, lambda lang, opened=shared: _triple_counter(opened, lang), least, "triples"))
+            triples.append(_counted(here, partial(_triple_counter, shared), least, "triples"))
         levels = lowered
         whole = triples[0]
         for more in triples[1:]:
