@@ -28,10 +28,11 @@ def aggregate(
     """
     if not aggregations:
         raise ValueError("give at least one aggregation")
-    return df.groupBy(*group_by).agg(*[_measure(*item) for item in aggregations.items()])
+    return df.groupBy(*group_by).agg(*[measure(*item) for item in aggregations.items()])
 
 
-def _measure(name: str, function: str) -> Column:
+def measure(name: str, function: str) -> Column:
+    """One aggregate of a mapping as :func:`aggregate` takes it."""
     known = NAMED_FUNCTIONS.get(function.strip().lower())
     if known:
         call, suffix = known
