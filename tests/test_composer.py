@@ -255,6 +255,54 @@ def test_connector_steps_pass_their_options(spark, wells, monkeypatch):
         run_steps(spark, spec(step("extract", "fromPostgres", table="t", credentialPath="missing")))
 
 
+def test_messages_that_do_not_parse_are_registered(spark, tmp_path):
+    messages = spark.createDataFrame([('{"id": 1}', "a"), ("oops", "b"), (None, "c")], "value string, topic string")
+    load = step("load", "toDeltaLake", path=str(tmp_path / "bad"), tableFormat="parquet", inputDataFrame="bad")
+    run = run_steps(spark, spec(step("transform", "decodeMessages", schema="id int", keepColumns=["topic"], rejectsAs="bad"), load), primary=messages)
+    assert rows(run.current()) == [("a", 1)]
+    assert rows(spark.read.parquet(str(tmp_path / "bad"))) == [("b", "oops"), ("c", None)]
+
+
+def test_kafka_steps_keep_what_does_not_parse(spark, monkeypatch):
+    from weir import sources
+
+    messages = spark.createDataFrame([('{"id": 1}',), ("oops",)], "value string")
+    monkeypatch.setattr(sources, "read_kafka", lambda *args, **kwargs: messages)
+    run = run_steps(spark, spec(step("extract", "fromKafka", topic="t", schema="id int")))
+    assert rows(run.current()) == [(1,)] and rows(run.frame("t_rejects")) == [("oops",)]
+
+
+def test_incremental_extracts_start_from_a_checkpoint(spark, tmp_path, monkeypatch):
+    from weir import sources
+
+    spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id int, t int").write.parquet(str(tmp_path / "t"))
+    since = {"checkpoint": "marks", "column": "t", "checkpointColumn": "done"}
+
+    def extract(marks, **more):
+        frames = {"marks": spark.createDataFrame(marks, "done int")}
+        table = step("extract", "fromDeltaLake", path=str(tmp_path / "t"), tableFormat="parquet", incremental={**since, **more})
+        return rows(run_steps(spark, spec(table), frames).current())
+
+    assert extract([(20,), (5,)]) == [(3, 30)]
+    assert extract([]) == [] and extract([], initial=10) == [(2, 20), (3, 30)]
+    seen = {}
+    monkeypatch.setattr(sources, "read_jdbc", lambda spark, **given: seen.update(given) or spark.range(1))
+
+    def query(marks, **config):
+        frames = {"marks": spark.createDataFrame(marks, "done timestamp")}
+        source = step("extract", "fromPostgres", url="jdbc:x", partitionColumn="id", **config)
+        run_steps(spark, spec(source), frames)
+        return seen["query"]
+
+    from datetime import datetime
+
+    assert query([(datetime(2024, 5, 1, 7),)], table="orders", incremental=since) == "select * from orders where t > '2024-05-01 07:00:00'"
+    assert query([], query="select 1 as t", incremental={**since, "initial": 0}) == "select * from (select 1 as t) t where t > '0'"
+    assert seen["lower_bound"] is None  # the reader asks for it
+    with pytest.raises(ValueError, match="checkpoint is empty"):
+        query([], table="orders", incremental=since)
+
+
 def test_history_is_kept_on_success_and_failure(spark, wells, tmp_path):
     from weir.metrics import read_history, throughput
 

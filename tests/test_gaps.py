@@ -8,7 +8,7 @@ from weir.functions import whole_to_amount
 from weir.operators import range_checks, violation_samples
 from weir.plans import run_steps
 from weir.session import INITIAL_PARTITIONS, PARTITION_BYTES, sized_shuffles
-from weir.sources import jdbc_read_options, newer_rows_query, split_json
+from weir.sources import bounds_query, jdbc_read_options, newer_rows_query, read_jdbc, split_bounds, split_json
 
 
 def step(kind, method, **config):
@@ -54,6 +54,35 @@ def test_newer_rows_reach_the_database_as_a_literal():
     assert newer_rows_query("t", "c", None) == "select * from t"
 
 
+def test_split_reads_ask_for_their_bounds(spark, monkeypatch):
+    """No connection is made: the reader only records its options."""
+    asked = []
+
+    class Reader:
+        def format(self, name):
+            return self
+
+        def options(self, **given):
+            asked.append(given)
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(17, 4_000_000)], "least int, highest int")
+
+    class Session:
+        read = Reader()
+
+    read_jdbc(Session(), "jdbc:x", table="orders", partition_column="id", partitions=8, user="u", lower_bound=None)
+    assert asked[0]["query"] == "select min(id) as least, max(id) as highest from orders" and asked[0]["user"] == "u"
+    assert (asked[1]["lowerBound"], asked[1]["upperBound"], asked[1]["numPartitions"]) == ("17", "4000000", "8")
+    asked.clear()
+    read_jdbc(Session(), "jdbc:x", query="select 1 as id", partition_column="id", lower_bound=5, upper_bound=9)
+    assert len(asked) == 1 and (asked[0]["lowerBound"], asked[0]["upperBound"]) == ("5", "9")
+    assert bounds_query("id", query="select 1 as id") == "select min(id) as least, max(id) as highest from (select 1 as id) t"
+    assert split_bounds({"upper_bound": 9}, (2, 7)) == {"lower_bound": 2, "upper_bound": 9}
+    assert split_bounds({}, (None, None)) == {"partition_column": None}  # no rows: read in one piece
+
+
 def test_malformed_messages_are_kept(spark):
     texts = ['{"k": 1}', '{"k": "x"}', "{", None, "{}", "[]", '{"k": 2, "z": 3}']
     df = spark.createDataFrame(list(enumerate(texts)), "id int, value string")

@@ -191,3 +191,10 @@ def test_equal_column_names_survive_both_ways(spark, how):
 def test_semi_chain_names_a_frame_that_is_gone(spark, hot):
     a, b, c = (spark.createDataFrame([(i,) for i in ids], "k int") for ids in ((1, 2, 3), (2, 3), (3, 4)))
     assert rows(join_frames({"a": a, "b": b, "c": c}, ["a.k = b.k", "b.k = c.k"], "semi", hot_keys=hot)) == [(3,)]
+
+
+def test_literals_in_conditions_stay(spark):
+    a, b, c = (spark.createDataFrame([r], s) for r, s in (((1,), "k int"), ((1, "b.k"), "k int, note string"), (("b.k",), "tag string")))
+    frames = {"a": a, "b": b, "c": c}
+    for text in ("c.tag = 'b.k'", 'c.tag = "b.k"', "concat('it\\'s ', c.tag) = 'it\\'s b.k'"):
+        assert rows(join_frames(frames, ["a.k = b.k", f"b.note = c.tag and b.k > 0 and {text}"])) == [(1, "b.k", "b.k")]

@@ -126,7 +126,7 @@ def join_frames(
                 right = right.withColumnRenamed(shared[1], _flat(name, shared[1]))
             for own in [*merged, *([(name, shared[1])] if shared else [])]:
                 spelled = rf"(?<![\w`.])`?{own[0]}`?\.`?{own[1]}(?:`|(?!\w))"
-                condition = re.sub(spelled, f"`{own[0]}`.`{_flat(*own)}`", condition)
+                condition = _replaced(condition, spelled, f"`{own[0]}`.`{_flat(*own)}`")
             result = result.join(right.alias(name), F.expr(condition), step_kind)
         if shared:
             merged[(name, shared[1])] = merged.get(shared, shared)
@@ -142,6 +142,16 @@ def join_frames(
     return result.select(*_with_merged_keys(kept, merged, late, column))
 
 
+_LITERAL = re.compile(r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")""", re.DOTALL)
+
+
+def _replaced(condition: str, pattern: str, by: str) -> str:
+    """The condition with every match replaced outside its string literals."""
+    parts = _LITERAL.split(condition)
+    parts[::2] = [re.sub(pattern, lambda _: by, part) for part in parts[::2]]
+    return "".join(parts)
+
+
 def _flat(frame: str, column: str) -> str:
     return f"{frame}:{column}"
 

@@ -215,11 +215,10 @@ def _extract(run: Run, steps: list[dict[str, Any]]) -> None:
     if method in ("fromPostgres", "fromMySQL"):
         df = sources.read_jdbc(
             run.spark,
-            table=config.get("table"),
-            query=config.get("query"),
             partition_column=config.get("partitionColumn"),
-            lower_bound=config.get("lowerBound", sources.jdbc.LOWER_BOUND),
-            upper_bound=config.get("upperBound", sources.jdbc.UPPER_BOUND),
+            lower_bound=config.get("lowerBound"),
+            upper_bound=config.get("upperBound"),
+            **_newer_query(run, config),
             partitions=config.get("numPartitions", sources.jdbc.PARTITIONS),
             **_jdbc(run, method, config),
         )
@@ -233,7 +232,7 @@ def _extract(run: Run, steps: list[dict[str, Any]]) -> None:
             run.spark, config["topic"], run.streaming, properties=_kafka(run, config), **offsets
         )
         if config.get("schema"):
-            df = sources.decode_json(df, config["schema"])
+            df = _decoded(run, df, config, config["topic"])
     elif method == "fromS3":
         uri, options = _object_store(run, config)
         reading = ("header", "inferSchema", "delimiter", "multiLine")
@@ -253,9 +252,44 @@ def _extract(run: Run, steps: list[dict[str, Any]]) -> None:
         df = sources.read_avro(run.spark, config["path"], config.get("avroSchema"), config.get("inferSchema"))
     else:
         raise ValueError(f"unknown extract method {method!r}")
+    if "incremental" in config and method not in JDBC_DATABASE:
+        df = operators.newer_than(df, **_mark(run, config["incremental"]))
     _store(run, df, config)
 
 
+def _decoded(run: Run, df: DataFrame, config: Mapping[str, Any], name: str) -> DataFrame:
+    """Decoded messages; the others are registered as ``rejectsAs``, as they came."""
+    keep = tuple(config.get("keepColumns", ()))
+    decoded, rejects = sources.split_json(df, config["schema"], config.get("valueColumn", "value"), keep)
+    run.frames[config.get("rejectsAs", f"{name}_rejects")] = rejects
+    return decoded
+
+
+def _mark(run: Run, incremental: Mapping[str, Any]) -> dict[str, Any]:
+    """Where an incremental extract starts: past the highest value of a checkpoint frame."""
+    return {
+        "column": incremental["column"],
+        "checkpoint": run.frame(incremental["checkpoint"]),
+        "checkpoint_column": incremental.get("checkpointColumn", incremental["column"]),
+        "initial": incremental.get("initial"),
+    }
+
+
+def _newer_query(run: Run, config: Mapping[str, Any]) -> dict[str, Any]:
+    """Table or query of a JDBC extract, past the mark of its checkpoint if it has one.
+
+    The mark goes into the query as a literal, so that the database applies it.
+    """
+    if "incremental" not in config:
+        return {"table": config.get("table"), "query": config.get("query")}
+    mark = _mark(run, config["incremental"])
+    latest = mark["checkpoint"].selectExpr(f"cast(max(`{mark['checkpoint_column']}`) as string)").first()[0]
+    if latest is None and mark["initial"] is None:
+        raise ValueError("the checkpoint is empty: say with 'initial' where to start")
+    source = f"({config['query']}) t" if config.get("query") else config["table"]
+    return {"query": sources.newer_rows_query(source, mark["column"], str(mark["initial"]) if latest is None else latest)}
+
+
 def _transform(run: Run, steps: list[dict[str, Any]]) -> None:
     method, config = steps[0]["method"], steps[0]["config"]
     if method == "joinDataFrames":
@@ -266,6 +300,8 @@ def _transform(run: Run, steps: list[dict[str, Any]]) -> None:
         df = operators.union_frames(first + listed, config.get("distinct", False))
     elif method == "filterRows":
         df = operators.filter_rows(run.current(), check_sql_text(config["condition"], "condition"))
+    elif method == "decodeMessages":
+        df = _decoded(run, run.current(), config, "decodeMessages")
     elif method == "enrichData":
         df = operators.enrich(run.current(), config["columns"])
     elif method == "aggregateData":
@@ -379,7 +415,8 @@ def _checks(step: Mapping[str, Any]) -> list[quality.Check]:
 
 
 def _load(run: Run, steps: list[dict[str, Any]]) -> int | None:
-    method, config, df = steps[0]["method"], steps[0]["config"], run.current()
+    method, config = steps[0]["method"], steps[0]["config"]
+    df = run.frame(config["inputDataFrame"]) if "inputDataFrame" in config else run.current()
     if run.streaming and df.isStreaming:
         query = _start_stream(run, method, config, df)
         name = config.get("queryName") or f"{method}_{uuid.uuid4().hex[:8]}"

@@ -107,7 +107,7 @@ def job_simple_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_user_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = jobs.order_attributes(table(spark, sf_dir, "orders"), TODAY, scratch_path(spark, "attributes"))
-    return written.select("o_orderkey", "o_custkey", "is_large", "age_days", "risk_score")
+    return written.select("o_orderkey", "o_custkey", "is_large", "age_days", "price_step", "overdue")
 
 
 def job_event_export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,10 +127,14 @@ def job_schema_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_stream_high_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events framed as JSON messages, decoded, filtered and appended as files."""
+    """Events framed as JSON messages, those of errors cut off; what is decoded is filtered, the rest kept as it came."""
     messages = jobs.as_messages(event_stream(spark, sf_dir))
-    path = scratch_path(spark, "high-value")
-    return jobs.stream_high_value(messages, MESSAGE, path, scratch_path(spark, "high-value-checkpoint"))
+    whole = F.col("value").cast("string")
+    messages = messages.select(F.when(whole.contains('"error"'), F.left(whole, F.lit(30))).otherwise(whole).alias("value"))
+    path, checkpoint = scratch_path(spark, "high-value"), scratch_path(spark, "high-value-checkpoint")
+    kept = jobs.stream_high_value(messages, MESSAGE, path, checkpoint, f"{path}-rejects")
+    lost = read_files(spark, f"{path}-rejects", schema="message string")
+    return kept.unionByName(lost, allowMissingColumns=True)
 
 
 def job_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,14 +236,14 @@ QUERIES = {
     "job_user_attributes": (
         job_user_attributes,
         f"""select o_orderkey, o_custkey, o_totalprice >= 250000 as is_large, age_days,
-        case when age_days < 365 then 'HIGH' when age_days < 1460 then 'MEDIUM' else 'LOW' end as risk_score
+        cast(floor(o_totalprice / 50000) as integer) as price_step, o_orderstatus = 'O' and age_days > 730 as overdue
         from (select *, cast(date_diff('day', cast(o_orderdate as date), date '{TODAY}') as integer) as age_days
         from orders) t where o_totalprice >= 1500 and o_orderstatus <> 'P'""",
     ),
     "job_event_export": (
         job_event_export,
         """select event_id, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') as processing_date,
-        value > 50 as high_value from events where event_type = 'purchase' and value > 10""",
+        value > 50 as over_fifty from events where event_type = 'purchase' and value > 10""",
     ),
     "job_schema_migration": (
         job_schema_migration,
@@ -249,8 +253,12 @@ QUERIES = {
     "job_stream_high_value": (
         job_stream_high_value,
         """select event_id, user_id, event_type, value, cast(floor(epoch(ts)) as bigint) as timestamp,
-        strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') as event_timestamp, value >= 50 as high_value
-        from events where event_type = 'purchase' and value > 10""",
+        strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') as event_timestamp, value >= 50 as high_value,
+        cast(null as varchar) as message from events where event_type = 'purchase' and value > 10
+        union all
+        select null, null, null, null, null, null, null,
+            left('{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"error"', 30)
+        from events where event_type = 'error'""",
     ),
     "job_daily_rollup": (
         job_daily_rollup,

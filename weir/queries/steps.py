@@ -42,6 +42,14 @@ def join_chain_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_frames([enrich(join_frames(frames, conditions, how), {"how": f"'{how}'"}) for how in ("inner", "left")])
 
 
+def join_chain_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain whose last condition compares with a text that spells a merged key."""
+    frames = _keyed(spark, sf_dir)
+    frames["bought"] = enrich(frames["bought"], {"tag": "if(id % 2 = 0, 'orders.id', 'no')"})
+    conditions = ["customer.id = orders.id", "orders.id = bought.id and bought.tag = 'orders.id'"]
+    return join_frames(frames, conditions).select("c_name", "n_orders", "n_bought", "tag")
+
+
 def join_full_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A full join of three frames, once plain and once for hot keys."""
     conditions = ["customer.id = orders.id", "customer.id = bought.id"]
@@ -139,6 +147,50 @@ def steps_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, path, schema=stream.schema)
 
 
+def steps_kafka_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A step list that decodes messages, loads the decoded ones and the cut-off ones apart; all come back."""
+    good, bad = scratch_path(spark, "steps-good"), scratch_path(spark, "steps-bad")
+    message = F.to_json(F.struct("event_id", "value"))
+    message = F.when(F.col("event_type") == "error", F.left(message, F.lit(9))).otherwise(message)
+    to_table = {"tableFormat": "parquet", "mode": "overwrite"}
+    spec = {
+        "steps": [
+            _step("transform", "decodeMessages", schema="event_id bigint, value double", keepColumns=["user_id"], rejectsAs="bad"),
+            _step("transform", "filterRows", condition="value > 10 or value is null"),
+            _step("load", "toDeltaLake", path=good, **to_table),
+            _step("load", "toDeltaLake", path=bad, inputDataFrame="bad", **to_table),
+        ]
+    }
+    run_steps(spark, spec, primary=table(spark, sf_dir, "events").select("user_id", message.alias("value")))
+    loaded = read_files(spark, good, schema="user_id bigint, event_id bigint, value double")
+    kept = read_files(spark, bad, schema="user_id bigint, message string")
+    return loaded.unionByName(kept, allowMissingColumns=True)
+
+
+def steps_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A step list run twice: from a start date, and from the checkpoint that the first run left."""
+    orders, marks, target = (scratch_path(spark, f"steps-{name}") for name in ("orders", "marks", "target"))
+    source = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    source.filter("false").selectExpr("o_orderdate as done").write.parquet(marks)
+    table_of = {"tableFormat": "parquet"}
+    spec = {
+        "steps": [
+            _step("extract", "fromDeltaLake", path=marks, registerAs="checkpoint", **table_of),
+            _step(
+                "extract", "fromDeltaLake", path=orders, **table_of,
+                incremental={"checkpoint": "checkpoint", "column": "o_orderdate", "checkpointColumn": "done", "initial": "1999-01-01"},
+            ),
+            _step("load", "toDeltaLake", path=target, partitionBy="lot", **table_of),
+            _step("transform", "aggregateData", groupBy=[], aggregations={"done": "max(o_orderdate)"}),
+            _step("load", "toDeltaLake", path=marks, **table_of),
+        ]
+    }
+    for lot, until in enumerate(("2000-06-01", "2100-01-01")):
+        source.filter(f"o_orderdate < '{until}'").withColumn("lot", F.lit(lot)).write.mode("overwrite").parquet(orders)
+        run_steps(spark, spec)
+    return read_files(spark, target).select("o_orderkey", "lot")
+
+
 def job_incremental_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A load that is run twice from the same mark leaves every row once."""
     orders = table(spark, sf_dir, "orders")
@@ -187,6 +239,12 @@ QUERIES = {
             for how in ("inner", "left")
         ),
     ),
+    "join_chain_literal": (
+        join_chain_literal,
+        KEYED_SQL
+        + """ select c_name, n_orders, n_bought, 'orders.id' as tag from customer3 c join orders3 o on c.id = o.id
+        join bought3 b on o.id = b.id and b.id % 2 = 0""",
+    ),
     "join_full_three": (
         join_full_three,
         KEYED_SQL
@@ -228,6 +286,18 @@ QUERIES = {
         steps_streaming,
         "select event_id, event_type, value from events where event_type = 'view' and (value >= 5 or value is null)",
     ),
+    "steps_kafka_rejects": (
+        steps_kafka_rejects,
+        """select user_id, event_id, value, cast(null as varchar) as message from events
+        where event_type <> 'error' and (value > 10 or value is null)
+        union all
+        select user_id, null, null, left('{"event_id":' || event_id, 9) from events where event_type = 'error'""",
+    ),
+    "steps_incremental": (
+        steps_incremental,
+        """select o_orderkey, case when o_orderdate < timestamp '2000-06-01' then 0 else 1 end as lot
+        from orders where o_orderdate > timestamp '1999-01-01'""",
+    ),
     "job_incremental_rerun": (
         job_incremental_rerun,
         """select o_orderkey, o_custkey, cast(year(o_orderdate) as integer) as year from orders

@@ -40,7 +40,7 @@ def jdbc_read_options(
     A query wins over a table. Spark refuses ``query`` together with a
     partition column, so a split query is read as a derived table. Bounds only
     place the splits; rows outside them land in the first and last split, so
-    give the real bounds of a large table.
+    :func:`read_jdbc` asks the database for them where they are not given.
     """
     if not (table or query):
         raise ValueError("either a table or a query is required")
@@ -71,6 +71,32 @@ def newer_rows_query(table: str, column: str, mark: str | None) -> str:
     return f"select * from {table} where {column} > '{quoted}'"
 
 
+def bounds_query(partition_column: str, table: str | None = None, query: str | None = None) -> str:
+    """Query for the least and the highest value of a partition column, one row."""
+    source = f"({query}) t" if query else table
+    return f"select min({partition_column}) as least, max({partition_column}) as highest from {source}"
+
+
 def read_jdbc(spark: SparkSession, url: str, **options: Any) -> DataFrame:
-    """Table or pushed-down query; see :func:`jdbc_read_options`. Needs the driver jar."""
+    """Table or pushed-down query; see :func:`jdbc_read_options`. Needs the driver jar.
+
+    A split read without bounds first asks the database for them; a table
+    without rows, or with NULLs only, is read in one piece.
+    """
+    column = options.get("partition_column")
+    if column and (options.get("lower_bound") is None or options.get("upper_bound") is None):
+        source = {key: options.get(key) for key in ("table", "query")}
+        access = {key: options.get(key) for key in ("driver", "user", "password", "properties")}
+        asked = jdbc_read_options(url, query=bounds_query(column, **source), **access)
+        found = spark.read.format("jdbc").options(**asked).load().first()
+        options = {**options, **split_bounds(options, found)}
     return spark.read.format("jdbc").options(**jdbc_read_options(url, **options)).load()
+
+
+def split_bounds(options: Mapping[str, Any], found: Any) -> dict[str, Any]:
+    """Bounds given, completed by those found; without any, no split."""
+    given = options.get("lower_bound"), options.get("upper_bound")
+    least, highest = (own if own is not None else seen for own, seen in zip(given, found or (None, None)))
+    if least is None or highest is None:
+        return {"partition_column": None}
+    return {"lower_bound": least, "upper_bound": highest}
