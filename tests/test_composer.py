@@ -318,3 +318,29 @@ def test_history_is_kept_on_success_and_failure(spark, wells, tmp_path):
         ("toS3", "SUCCESS", 3), ("validateRanges", "FAILED", None),
     ]
     assert throughput(lines).first().records == 3
+
+
+def test_rows_of_every_step_are_counted(spark, pumps, tmp_path):
+    out = {"path": str(tmp_path / "out"), "tableFormat": "parquet"}
+    names = spark.createDataFrame([("on", "running")], "state string, label string")
+    steps = [
+        step("extract", "fromS3", **s3(pumps, registerAs="pumps")),
+        step("extract", "fromS3", **s3(pumps, registerAs="unused")),
+        step("transform", "joinDataFrames", inputDataFrames=["pumps", "names"], joinColumn="state"),
+        step("validate", "validateRanges", ranges={"flow": {"min": 100}}, onViolation="quarantine", rejectsAs="bad"),
+        step("transform", "filterRows", condition="flow < 300"),
+        step("validate", "validateNulls", notNullColumns=["site"]),
+        step("load", "toDeltaLake", **out),
+    ]
+    run = run_steps(spark, spec(*steps), {"names": names}, count_rows=True)
+    assert [line["records"] for line in run.metrics] == [5, None, 3, 3, 1, 1, 1]
+    plain = run_steps(spark, spec(*steps), {"names": names})
+    assert [line["records"] for line in plain.metrics] == [None] * 6 + [1]
+
+
+def test_a_failed_validation_tells_how_many_rows_it_saw(spark, pumps, tmp_path):
+    path = str(tmp_path / "history")
+    failing = step("validate", "validateRanges", ranges={"flow": {"min": 100}})
+    with pytest.raises(ValidationFailed):
+        run_steps(spark, spec(failing), primary=spark.read.parquet(pumps), history=path, count_rows=True)
+    assert [(r.status, r.records) for r in spark.read.json(path).collect()] == [("FAILED", 5)]

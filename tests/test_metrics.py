@@ -49,7 +49,7 @@ def by_rank(values, p):
     return ordered[max(math.ceil(p * len(ordered) / 100), 1) - 1]
 
 
-@pytest.mark.parametrize("accuracy, leaf_rows", [(4, 10_000), (50, 10_000), (10_000, 10_000), (50, 40)])
+@pytest.mark.parametrize("accuracy, leaf_rows", [(4, 10_000), (10_000, 10_000), (4, 300), (50, 300), (10_000, 300), (50, 40), (4, 2)])
 def test_nearest_rank_matches_sorting(spark, accuracy, leaf_rows):
     random.seed(5)
     data = [("hot", float(random.choice([1, 1, 1, random.random() * 100]))) for _ in range(3000)]
@@ -75,7 +75,7 @@ def test_nearest_rank_over_all_rows(spark):
 
 def test_nearest_rank_orders_only_thin_slices(spark):
     df = spark.range(100_000).selectExpr("id as v")
-    out = nearest_rank(df, "v", [50])
+    out = nearest_rank(df, "v", [50], leaf_rows=10_000)
     text = plan(out)
     assert "percentile_disc" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
     assert rows(out) == [(50, 49_999, 100_000)]

@@ -30,8 +30,10 @@ def nearest_rank(
     into slices. Counting all slices exactly tells which slice holds each rank
     and which position in it; only those thin slices, about ``4 / accuracy`` of
     the rows, are collapsed to distinct values and ordered. A slice of more
-    than ``leaf_rows`` values is cut again first. The cut points are fixed
-    before use and only steer how thin the slices are, never the result.
+    than ``leaf_rows`` values is cut again first, as long as that makes it smaller.
+    The cut points are fixed before use and only steer how thin the slices are,
+    never the result. Where no group has more than ``leaf_rows`` rows, which is
+    counted first, its distinct values are ordered as they are.
 
     Returns the ``by`` columns, ``percentile``, ``value`` and ``n``.
     """
@@ -41,6 +43,15 @@ def nearest_rank(
     rows = df.filter(F.col(value).isNotNull()).select(
         *keys, F.col(value).alias("_v"), F.lit(1).cast("bigint").alias("_c")
     )
+    most = rows.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if most <= leaf_rows:
+        whole = rows.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
+        group = Window.partitionBy(*keys)
+        seen = whole.withColumn("_seen", F.sum("_c").over(group.orderBy("_v"))).withColumn("n", F.sum("_c").over(group))
+        hits = seen.withColumn("percentile", F.explode(F.array(*[F.lit(p) for p in wished])))
+        rank = F.greatest(F.lit(1), F.ceil(F.col("percentile") * F.col("n") / 100))
+        found = hits.filter((rank <= F.col("_seen")) & (rank > F.col("_seen") - F.col("_c")))
+        return found.select(*by, "percentile", F.col("_v").alias("value"), "n")
     sliced = _sliced(rows, "_s0", keys, _around(wished, 2 / accuracy), accuracy)
     targets = _fixed(_targets(sliced, "_s0", keys, wished))
     keys = [*keys, "_s0"]
@@ -57,8 +68,8 @@ def nearest_rank(
         keys = [*keys, part]
         pool = _match(sliced, targets.select(*keys), keys)
         largest = pool.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if largest >= before:
-            raise RuntimeError(f"a slice of {largest} values could not be cut")
+        if largest >= before:  # too close together to tell apart: ordered as it is
+            break
 
     seen = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_v"))
     hits = _match(pool.withColumn("_seen", seen), targets, keys).withColumn("_t", F.explode("_targets"))

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from itertools import groupby
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from weir import metrics, operators, sinks, sources, streaming
@@ -50,6 +50,25 @@ class Run:
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
     cached: list[DataFrame] = field(default_factory=list)
     metrics: list[dict[str, Any]] = field(default_factory=list)
+    count_rows: bool = False
+    observations: dict[int, Observation] = field(default_factory=dict)
+    # steps whose rows are counted by the time a frame has been computed, by the frame's id
+    counted: dict[int, frozenset[int]] = field(default_factory=dict)
+    done: set[int] = field(default_factory=set)
+    kept: list[DataFrame] = field(default_factory=list)
+
+    def counting(self, df: DataFrame, step: int, *sources: DataFrame) -> DataFrame:
+        """``df`` with its rows counted as they are computed, where the run asks for it."""
+        if not self.count_rows or df.isStreaming:
+            return df
+        df, self.observations[step] = metrics.observe(df, f"{self.name}-{step}-{uuid.uuid4().hex[:8]}")
+        before = [self.counted.get(id(source), frozenset()) for source in sources]
+        self.counted[id(df)] = frozenset({step}).union(*before)
+        self.kept.append(df)  # so that its id stays its own
+        return df
+
+    def computed(self, df: DataFrame) -> None:
+        self.done |= self.counted.get(id(df), frozenset())
 
     def current(self) -> DataFrame:
         if self.primary is None:
@@ -76,6 +95,7 @@ def run_steps(
     credentials: Mapping[str, Mapping[str, Any]] | None = None,
     history: str | None = None,
     release: bool = False,
+    count_rows: bool = False,
 ) -> Run:
     """Fold the steps; returns the last primary frame, named frames and queries.
 
@@ -83,6 +103,10 @@ def run_steps(
     ``credentials`` maps each ``credentialPath`` in the steps to its options.
     ``history`` names a folder that the step metrics are appended to, whether
     the run succeeds or fails. ``release`` uncaches at the end of the run.
+    ``count_rows`` records the rows of every batch step: those that an extract or
+    transform step gives, and those that a validation sees. They are counted as
+    later steps compute them, without a scan of their own; a step that nothing
+    computed has none. Filters are not pushed below a counted step.
 
     Shuffles are sized by the input of each step that computes something, and
     the session's setting is as before afterwards.
@@ -103,6 +127,7 @@ def run_steps(
         credentials or {},
         primary,
         dict(frames or {}),
+        count_rows=count_rows,
     )
     try:
         for shared, group in groupby(steps, key=_scan_key):
@@ -110,6 +135,9 @@ def run_steps(
             for batch in [members] if shared[0] == "checks" else [[step] for step in members]:
                 _timed_step(run, batch)
     finally:
+        for line in run.metrics:
+            if line["step"] in run.done and line["records"] is None:
+                line["records"] = metrics.observed(run.observations[line["step"]]).get("records")
         if release:
             run.release()
         if history and run.metrics:
@@ -160,9 +188,12 @@ def _input_bytes(df: DataFrame) -> int:
     return 0 if size >= MOST_BYTES else size
 
 
-def _store(run: Run, df: DataFrame, config: Mapping[str, Any]) -> None:
+def _store(run: Run, df: DataFrame, step: Mapping[str, Any], *sources: DataFrame) -> None:
+    config = step["config"]
+    df = run.counting(df, step["index"], *sources)
     if str(config.get("cache", False)).lower() == "true":
-        df = operators.cache(df, config.get("cacheStorageLevel", "MEMORY_AND_DISK"))
+        before, df = df, operators.cache(df, config.get("cacheStorageLevel", "MEMORY_AND_DISK"))
+        run.counted[id(df)] = run.counted.get(id(before), frozenset())
         run.cached.append(df)
     if config.get("registerAs"):
         run.frames[config["registerAs"]] = df
@@ -254,7 +285,7 @@ def _extract(run: Run, steps: list[dict[str, Any]]) -> None:
         raise ValueError(f"unknown extract method {method!r}")
     if "incremental" in config and method not in JDBC_DATABASE:
         df = operators.newer_than(df, **_mark(run, config["incremental"]))
-    _store(run, df, config)
+    _store(run, df, steps[0])
 
 
 def _decoded(run: Run, df: DataFrame, config: Mapping[str, Any], name: str) -> DataFrame:
@@ -323,7 +354,9 @@ def _transform(run: Run, steps: list[dict[str, Any]]) -> None:
         df = operators.coalesce(run.current(), config["numPartitions"])
     else:
         raise ValueError(f"unknown transform method {method!r}")
-    _store(run, df, config)
+    named = [run.frames[name] for name in config.get("inputDataFrames", ()) if name in run.frames]
+    own = [] if method == "joinDataFrames" or run.primary is None else [run.primary]
+    _store(run, df, steps[0], *named, *own)
 
 
 def _join(run: Run, config: Mapping[str, Any]) -> DataFrame:
@@ -375,6 +408,11 @@ def _validate(run: Run, steps: list[dict[str, Any]]) -> None:
     action = config.get("onViolation", "fail")
     if action not in ACTIONS:
         raise ValueError(f"onViolation is one of {ACTIONS}: {action!r}")
+    before, df = df, run.counting(df, steps[0]["index"], df)
+    if df is not before:
+        run.primary = df
+        run.observations.update(dict.fromkeys([s["index"] for s in steps], run.observations[steps[0]["index"]]))
+        run.counted[id(df)] |= {s["index"] for s in steps}
     if method in ROW_CHECKS:
         checks = [check for step in steps for check in _checks(step)]
         if action != "fail":
@@ -382,6 +420,7 @@ def _validate(run: Run, steps: list[dict[str, Any]]) -> None:
         elif df.isStreaming:
             raise ValueError("a stream cannot be counted; set onViolation to 'filter' or 'quarantine'")
         else:
+            run.computed(df)
             operators.violation_report(df, checks, fail_fast=True)
     elif method == "validateSchema":
         if action == "fail":
@@ -400,6 +439,9 @@ def _validate(run: Run, steps: list[dict[str, Any]]) -> None:
 
 def _keep(run: Run, step: Mapping[str, Any], valid: DataFrame, rejected: DataFrame) -> None:
     """Go on with the valid rows; ``quarantine`` registers the others as ``rejectsAs``."""
+    for part in (valid, rejected):
+        run.counted[id(part)] = run.counted.get(id(run.current()), frozenset())
+        run.kept.append(part)
     run.primary = valid
     if step["config"]["onViolation"] == "quarantine":
         run.frames[step["config"].get("rejectsAs", f"{step['method']}_rejects")] = rejected
@@ -423,6 +465,8 @@ def _load(run: Run, steps: list[dict[str, Any]]) -> int | None:
         run.queries[name] = query
         return None
     mode = config.get("mode", "append")
+    if sinks.save_mode(mode) != "ignore":
+        run.computed(df)
     # Only a write that surely runs reports its count: not one that "ignore" may skip.
     counted = sinks.save_mode(mode) != "ignore" and method in FILE_SINKS
     observation = None
