@@ -3,6 +3,7 @@ import random
 import re
 
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 from weir.llm import secret_scan as S
 from weir.llm.queries import REGISTRY
@@ -27,12 +28,23 @@ def digest(df):
     return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
 
 
-def test_whole_table_against_brute_force(spark):
+PLANTED = [
+    "my password = hunter2hunter2 is here", 'api_key: "Zz09+/_.=-Zz" and token=abc', "id AKIA" + "Q7" * 8 + " in a line",
+    "sum " + "0f" * 20 + " end", "secret:" + "0123456789abcdef" * 3, "AKIASHORT and passwd: short", "Token='AKIA" + "Z" * 16 + "'",
+]
+
+
+def test_whole_table_against_brute_force(spark, tmp_path):
+    """The table, and planted documents beside it: the smallest table has no secret of its own."""
     docs = table(spark, SF_DIR, "documents")
-    want = sorted(((r.doc_id, *brute(r.text)) for r in docs.collect()), key=repr)
-    got = REGISTRY["op4_secret_scan"][0](spark, SF_DIR)
-    assert digest(got) == want
-    assert sum(r[1] + r[2] + r[3] for r in want)
+    planted = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(PLANTED)], "doc_id long, text string")
+    docs.unionByName(planted, allowMissingColumns=True).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = table(spark, str(tmp_path), "documents").collect()
+    want = sorted(((r.doc_id, *brute(r.text)) for r in rows), key=repr)
+    assert digest(REGISTRY["op4_secret_scan"][0](spark, str(tmp_path))) == want
+    assert len(rows) == docs.count() + len(PLANTED)
+    for kind in (1, 2, 3):
+        assert sum(r[kind] for r in want) >= 2
 
 
 ODD = [
@@ -109,3 +121,16 @@ def test_a_long_token_before_its_identifier(spark):
         assert spans(spark, text) == f"weak_secret:{lead + 1}:{lead + 1 + len(token)},weak_id:{lead + 2 + len(token)}:{lead + 12 + len(token)}"
     docs = spark.createDataFrame([(1, token + " user: anna")], "doc_id long, text string")
     assert S.redact_secrets(docs).first().text == "[SECRET] [SECRET]"
+
+
+def test_rows_without_parts_are_not_gathered(spark, settings):
+    """Neither rows without weak parts nor NULL texts meet in one task once nothing is broadcast."""
+    settings(
+        spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
+        spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions=8,
+    )
+    texts = [f"user: u{i} pwd: hunter{i}" if i % 50 == 0 else None if i % 3 else f"plain {i}" for i in range(2000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    for out in (S.scan_secrets(docs), S.redact_secrets(docs)):
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 2000 and max(sizes) < 2000 / 4

@@ -171,8 +171,11 @@ def scan_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("l")
     )
     linked = linked.select("key", F.expr("transform(l, x -> struct(x.kind, x.start, x.end))").alias("linked"))
-    return found.join(linked, "key", "left").select(
-        "doc_id", "base", F.coalesce("linked", F.expr("cast(array() as array<struct<kind:string,start:bigint,end:bigint>>)")).alias("linked")
+    none = F.expr("cast(array() as array<struct<kind:string,start:bigint,end:bigint>>)")
+    # most rows have no weak part, so no key: they take no part in the join
+    with_parts = found.filter("key is not null").join(linked, "key", "left")
+    return with_parts.select("doc_id", "base", F.coalesce("linked", none).alias("linked")).union(
+        found.filter("key is null").select("doc_id", "base", none.alias("linked"))
     )
 
 
@@ -225,11 +228,13 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     spans = texts.select("key", F.inline("base")).union(linked).groupBy("key").agg(
         F.flatten(F.sort_array(F.collect_list(F.array("start", "end")))).alias("spans")
     )
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.md5("text").alias("key"))
+    # a NULL text has no key and no span: it stays out of the join
+    rows = docs.filter("text is not null").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.md5("text").alias("key"))
     masked_text = F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(_mask("row.text", "spans"))
-    return rows.join(spans, "key", "left").select(
+    clean = rows.join(spans, "key", "left").select(
         *[(masked_text if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns]
     )
+    return clean.union(docs.filter("text is null"))
 
 
 def _scan_keyed(batch: pa.RecordBatch) -> dict:
