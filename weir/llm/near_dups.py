@@ -10,9 +10,9 @@ with equal sets form a class, and one member stands for it.
    estimated from the packed bits, corrected for chance agreement of ``BITS``
    bits: a pair is dropped only when the estimate lies five standard errors
    under the threshold.
-3. Stars: in each bucket every class is compared with one centre, drawn anew
-   per round, unless both are connected already. So a bucket of n copies costs n
-   comparisons, not n squared.
+3. Stars: in each bucket every class is compared with ``STARS`` centres, drawn by a
+   hash of the class alone, so near copies have the same ones in all the buckets
+   that they share. So a bucket of n copies costs n comparisons, not n squared.
 4. Rest: classes in buckets that still span components. Bucket-mates form
    clusters; a cluster's consensus C is the set of shingles that over half of
    it holds, and D(a) is the symmetric difference of a and C. Two sets link when
@@ -53,7 +53,7 @@ BITS = 4
 BANDS, ROWS = 20, 4
 LANES = 64 // BITS
 BLOCK = 1024  # classes of a cluster that a task counts against as many others
-STARS = 2  # rounds with one centre per bucket before the rest is compared
+STARS = 2  # centres per bucket, before the rest is compared
 SIGNATURES = "doc_id long, dkey long, n_shingles long, ckey long, packed array<long>, bands array<long>"
 
 
@@ -176,8 +176,10 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star steps until nothing changes.
     """
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    stars, before = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges"), None
-    while True:
+    state_of = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    stars = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    before = state_of(stars)
+    while before[0]:
         around = both(stars)
         least = around.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
         large = around.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -185,10 +187,11 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.col("a"), F.col("b"))).alias("a"), F.col("m").alias("b"))
         stars = written(small.filter("a <> b").distinct(), "stars")
-        state = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        state = state_of(stars)
         if state == before:
-            return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            break
         before = state
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 3, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -241,34 +244,24 @@ def _labelled(docs: DataFrame, percent: int, width: int, bands: int, rows: int)
     hashes = bands * rows
     bits = classes.select("ckey", "packed")
     likely = _estimated_least(percent / 100, hashes)
-    checked = None
-
-    def compare(pairs: DataFrame) -> tuple[DataFrame, bool]:
-        """Components after confirming candidate pairs (a, b), and whether none was linked."""
-        nonlocal checked
-        pairs = pairs if checked is None else pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        named = pairs.join(read.toDF("a", "text_a"), "a").join(read.toDF("b", "text_b"), "b")
-        done = written(map_batches(named, partial(_confirm, width, percent), "a long, b long, linked boolean"), "compared")
-        checked = done if checked is None else written(checked.union(done), "compared")
-        return components(checked.filter("linked").select("a", "b")), done.filter("linked").isEmpty()
-
-    grown = None
-    for star in range(STARS):
-        here = _with_roots(entries, grown)
-        order = F.struct(F.xxhash64(F.lit(star), "ckey", "bucket").alias("h"), "ckey", "root")
-        centres = here.groupBy("bucket").agg(F.min(order).alias("c"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-        centres = centres.filter("r0 <> r1").select("bucket", F.col("c.ckey").alias("centre"), F.col("c.root").alias("own"))
-        pairs = here.join(centres, "bucket").filter("root <> own").select(F.greatest("ckey", "centre").alias("a"), F.least("ckey", "centre").alias("b"))
-        pairs = pairs.distinct().join(bits.toDF("a", "packed_a"), "a").join(bits.toDF("b", "packed_b"), "b")
-        grown, none = compare(pairs.filter(agreement(hashes) >= likely).select("a", "b"))
-        if none:
-            break
+    # the same few centres in all buckets that hold them, so that near copies meet few of them
+    drawn = [F.min(F.struct(F.xxhash64(F.lit(star), "ckey").alias("h"), "ckey")).alias(f"c{star}") for star in range(STARS)]
+    named = F.array_distinct(F.array(*[F.col(f"c{star}.ckey") for star in range(STARS)])).alias("centres")
+    # a table of its own, so that a small one is joined without dealing out the entries by bucket
+    centres = written(entries.groupBy("bucket").agg(*drawn).select("bucket", named), "centres")
+    pairs = entries.join(centres, "bucket").select("ckey", F.explode("centres").alias("centre")).filter("ckey <> centre")
+    pairs = pairs.select(F.greatest("ckey", "centre").alias("a"), F.least("ckey", "centre").alias("b")).distinct()
+    pairs = pairs.join(bits.toDF("a", "packed_a"), "a").join(bits.toDF("b", "packed_b"), "b")
+    pairs = pairs.filter(agreement(hashes) >= likely).select("a", "b")
+    pairs = pairs.join(read.toDF("a", "text_a"), "a").join(read.toDF("b", "text_b"), "b")
+    compared = written(map_batches(pairs, partial(_confirm, width, percent), "a long, b long, linked boolean"), "compared")
+    linked = compared.filter("linked").select("a", "b")
+    grown = components(linked)
     here = _with_roots(entries, grown)
     open_buckets = here.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
     here = written(here.join(open_buckets.select("bucket"), "bucket"), "open-buckets")
     rest = _rest_links(here, read, classes.select("ckey", "n"), width, percent)
-    links = rest if checked is None else rest.union(checked.filter("linked").select("a", "b"))
-    grown = components(links)
+    grown = components(rest.union(linked))
 
     return _with_roots(signed.select("ckey", "doc_id", "dkey", "n_shingles"), grown)
 
@@ -290,7 +283,7 @@ def _rest_links(here: DataFrame, read: DataFrame, sizes: DataFrame, width: int,
     extra = held.join(often.filter("not common"), ["cluster", "shingle"]).select("ckey", "cluster", "shingle", "f", F.lit(True).alias("has"))
     lacking = (
         members.select("ckey", "cluster")
-        .join(common, "cluster")
+        .join(common.filter("f < size"), "cluster")  # what all of a cluster hold, nobody lacks
         .join(held.select("ckey", "shingle"), ["ckey", "shingle"], "left_anti")
         .select("ckey", "cluster", "shingle", (F.col("size") - F.col("f")).alias("f"), F.lit(False).alias("has"))
     )
