@@ -53,8 +53,10 @@ MOST_PROBES = 16384
 SAMPLE = 4096
 BLOCK = 4096  # rows of a block, whose vectors are in one task
 LIST = 256  # ids of a list of a bucket
+LISTS = 4096  # lists of a bucket that a query gathers in one task
 ASKED = 1024  # queries at one list
 TILE = 1 << 20  # candidates of a task
+PROBED = 128  # queries whose buckets one task lists
 MIX = 0x5851F42D4C957F2D  # an odd multiplier: cells to one number
 
 
@@ -334,7 +336,9 @@ def candidates(index: DataFrame, probes: DataFrame, blocks: dict[int, int]) -> t
     lists = index.join(cuts, key).withColumn("near", _spread("rid", "near_cuts")).groupBy(*key, "near", "asked_cuts")
     lists = lists.agg(F.collect_list("rid").alias("rids")).select(*key, "near", _every(F.col("asked_cuts")).alias("asked"), "rids")
     visits = probes.join(cuts, key).select(*key, _spread("rid", "asked_cuts").alias("asked"), _every(F.col("near_cuts")).alias("near"), F.col("rid").alias("q"))
-    met = visits.join(lists, [*key, "near", "asked"]).select("q", "dim", "rids")
+    met = visits.join(lists, [*key, "near", "asked"]).select("q", "dim", "rids", F.floor(F.col("near") / LISTS).alias("salt"))
+    # a query's lists follow each other, so that most repeats meet in a batch
+    met = met.repartition("q", "salt").sortWithinPartitions("q").drop("salt")
     return written(map_batches(met, partial(_route, blocks, parts), ROUTED), "ann-met"), parts
 
 
@@ -353,10 +357,11 @@ def nearest(embeddings: DataFrame, queries: str, k: int, success: float = SUCCES
     asked = keyed.filter(queries)
     # the first row of equal queries searches for all of them
     first = asked.groupBy(*same).agg(F.min("rid").alias("rid"))
-    searched = asked.join(first.select("rid"), "rid").select("rid", "vec_id", "vec", "dim")
+    searched = written(asked.join(first.select("rid"), "rid").select("rid", "vec_id", "vec", "dim"), "ann-asked")
     rows = kept.select("rid", "vec_id", "vec", "dim")
     index = written(map_batches(rows.select("rid", "vec", "dim"), partial(_index, hashings), HASHED), "ann-index")
-    probes = written(map_batches(searched.select("rid", "vec", "dim"), partial(_probe, hashings), HASHED), "ann-probes")
+    dealt = searched.select("rid", "vec", "dim").repartition(1 + searched.count() // PROBED, "rid")
+    probes = written(map_batches(dealt, partial(_probe, hashings), HASHED), "ann-probes")
     met, parts = candidates(index, probes.filter("table >= 0"), blocks)
 
     # to each block's vectors those of the queries that met some of them
