@@ -89,3 +89,66 @@ def test_too_few_candidates_are_scanned_for(spark):
     data[::50] = rng.standard_normal((60, 8))  # queries apart from it
     got, _ = found_and_wanted(spark, data, success=0.0, tables=1)
     assert {len(ids) for ids in got.values()} == {5}
+
+
+def share_met(n, queries=24, dim=32):
+    rng = np.random.default_rng(n)
+    unit = rng.standard_normal((n, dim))
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    sample = unit[rng.choice(n, min(n, ann.SAMPLE), replace=False)]
+    hashing = ann.Hashing(dim, n, sample, 5, ann.SUCCESS)
+    codes = hashing.codes(unit)
+    shares = []
+    for table, bucket in hashing.probes(unit[:queries]):
+        assert len(set(zip(table.tolist(), bucket.tolist()))) == len(table)  # no bucket twice
+        met = np.zeros(n, bool)
+        for t in range(hashing.tables):
+            met |= np.isin(codes[:, t], bucket[table == t])
+        shares.append(met.mean())
+    return np.mean(shares)
+
+
+def test_a_larger_table_meets_a_smaller_share():
+    small, large = share_met(2000), share_met(64000)
+    assert large < 0.8 * small
+
+
+def test_visits_reach_the_chance_asked_for_and_not_more():
+    rng = np.random.default_rng(1)
+    unit = ann._unit(rng.standard_normal((5000, 16)))
+    counts = []
+    for success in (0.3, 0.6, 0.9):
+        hashing = ann.Hashing(16, 5000, unit[:1000], 5, success)
+        counts.append([len(t) for t, _ in hashing.probes(unit[:10])])
+    assert all(a < b < c for a, b, c in zip(*counts))
+
+
+def test_a_query_far_from_all_visits_no_buckets_but_all_rows(spark):
+    rng = np.random.default_rng(4)
+    data = 6 * np.eye(24)[0] + rng.standard_normal((200_000, 24))
+    unit = ann._unit(data)
+    hashing = ann.Hashing(24, len(data), unit[:4096], 5, 0.999)
+    assert hashing.probes(-unit[:3]) == [None] * 3
+    near = hashing.probes(unit[:3])
+    assert all(p is None or len(p[0]) <= ann.MOST_PROBES for p in near)
+    few = data[:3000].copy()
+    few[::50] *= -1  # opposite to all but one another
+    got, want = found_and_wanted(spark, few)
+    assert np.mean([len(set(got[i]) & set(want[i])) / 5 for i in got]) >= 0.9
+
+
+def test_met_ids_are_routed_once_by_block_and_query():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "q": pa.array([1, 1, 2, 1], pa.int64()),
+            "dim": pa.array([3, 3, 3, 4], pa.int32()),
+            "rids": pa.array([[5, 6, 7], [6, 7], [7], []], pa.list_(pa.int64())),
+        }
+    )
+    out = ann._route({3: 2, 4: 1}, {3: 1, 4: 1}, batch)
+    rows = list(zip(*[c.to_pylist() if hasattr(c, "to_pylist") else c.tolist() for c in out.values()]))
+    assert rows == [(3, 0, 0, [1], [1], [6]), (3, 1, 0, [1, 2], [2, 1], [5, 7, 7])]
+    empty = ann._route({3: 2}, {3: 1}, batch.slice(0, 0))
+    assert all(len(c) == 0 for c in empty.values())

@@ -48,7 +48,7 @@ TABLES = 16
 WIDTH = 2.5
 BUCKET = 12
 SMALL = 1024
-SUCCESS = 0.85
+SUCCESS = 0.88
 MOST_PROBES = 16384
 SAMPLE = 4096
 BLOCK = 4096  # rows of a block, whose vectors are in one task
