@@ -146,11 +146,9 @@ class Hashing:
         return low
 
 
-_ERF = np.vectorize(math.erf, otypes=[float])
-
-
 def _normal(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + _ERF(x / math.sqrt(2)))
+    erf = np.frompyfunc(math.erf, 1, 1)  # made here: it cannot be sent to tasks
+    return 0.5 * (1 + erf(x / math.sqrt(2)).astype(float))
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
