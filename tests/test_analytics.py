@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weir.operators.grouping import cube_sets, grouping_sets, rollup_sets
-from weir.operators.ranges import bin_widths, range_join
+from weir.operators.ranges import bin_widths, halvings, range_join
 from weir.operators.sampling import sample_per
 from weir.operators.scans import filled_forward, ranked, running, shifted
 from weir.operators.sets import intersect, subtract
@@ -92,6 +92,20 @@ def test_widths_follow_the_counts():
     assert bin_widths({0: 1, 30: 1}, 1_000_000_000, -10) == [0, 30]  # never more than some bins each
 
 
+def test_dense_bins_are_halved_and_far_intervals_left_out(spark):
+    assert [halvings(37, n, 2.0**41) for n in (0, 4000, 4096, 9000, 17_000, 10**9)] == [0, 0, 0, 1, 2, 3]
+    assert halvings(-1000, 10**9, 100.0) == 0 and halvings(5, 10**9, 0.0) == 0
+    points = spark.range(20_000).selectExpr("id as i", "1000 + id / 1000 as x")
+    spans = [(j, 1000 + j * 0.37, 1000 + j * 0.37 + (j % 5)) for j in range(50)]
+    far = [(100 + j, 5.0 * j, 5.0 * j + 4) for j in range(100)] + [(300, 0.0, 5000.0), (301, -1.0, 1000.0), (302, 1019.999, 9e9)]
+    intervals = spark.createDataFrame(spans + far, "j int, low double, high double")
+    out = range_join(points, intervals, "x", "low", "high")
+    xs = [1000 + i / 1000 for i in range(20_000)]
+    want = {j: n for j, a, b in spans + far if (n := sum(a <= x <= b for x in xs))}
+    assert {r.j: r["count"] for r in out.groupBy("j").count().collect()} == want
+    assert ">= 1000.0" in plan(out)  # intervals that end before the first point are left out
+
+
 def test_a_hot_bin_is_split(spark, tmp_path, settings):
     settings(
         spark__sql__autoBroadcastJoinThreshold=-1,
