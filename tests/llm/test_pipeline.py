@@ -1,12 +1,14 @@
 import re
 
 import corpus_pipeline as P
+import pyarrow as pa
+import pytest
 from conftest import SF_DIR
 from test_mixing import targets, words
 from test_packing import check_places, pieces
 from test_secret_scan import brute as secrets
 
-from weir.llm.common import repeat_rows, row_key
+from weir.llm.common import BATCH_SETTING, repeat_rows, row_key
 from weir.queries.tables import table
 
 
@@ -86,3 +88,27 @@ def test_rows_repeat_as_told(spark):
     df = spark.createDataFrame([(1, None, "x"), (1, None, "x"), (None, 1, "x"), (2, 2, None)], "a int, b int, key string")
     times = df.groupBy(row_key(df).alias("key")).count().withColumnRenamed("count", "times")
     assert rows_of(repeat_rows(df, row_key(df), times)) == rows_of(df)
+
+
+@pytest.mark.parametrize("name", ["language_id", "near_duplicates", "secret_scan", "best_fit_pack"])
+def test_texts_reach_python_in_small_batches(spark, name):
+    """Batches of 10,000 texts of any length, several times over in each task, took an executor over its memory."""
+
+    def batch_sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    schema = table(spark, SF_DIR, "documents").schema
+    long = spark.range(0, 400, 1, 1).selectExpr("id as doc_id", "concat(id, repeat(' words', 5000)) as text", "'en' as lang", "'a' as source", "30000L as n_chars")
+    long = long.selectExpr(*[f"cast({f.name} as {f.dataType.simpleString()}) as {f.name}" for f in schema])
+    few = spark.createDataFrame([(1, "some words of a text", "en", "a", 20)], schema)
+    spark.conf.unset(BATCH_SETTING)
+    try:
+        assert dict(P.STAGES)[name](spark, few, SF_DIR).count() == 1
+        sizes = long.mapInArrow(batch_sizes, "n long, size long").collect()
+        assert sum(r.n for r in sizes) == 400 and max(r.size for r in sizes) < 3_000_000
+        spark.conf.set(BATCH_SETTING, "1m")  # the user's choice
+        P.STAGES[0][1](spark, few, SF_DIR)
+        assert spark.conf.get(BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.unset(BATCH_SETTING)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weir.llm.common import map_batches, seeded
+from weir.llm.common import bound_batches, map_texts, seeded
 
 UNDETERMINED = "und"
 ORDER = 3
@@ -106,7 +106,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, seed: int = 0) -> Model:
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, sample / n))])
     draw = F.pmod(seeded(seed, F.col("doc_id"), F.col("text")), F.lit(1 << 20)) / (1 << 20)
     chosen = labelled.filter(draw < share[F.col("lang")])
-    counts = map_batches(chosen.select("text", "lang"), _count, "lang string, bucket long, n long")
+    counts = map_texts(chosen.select("text", "lang"), _count, "lang string, bucket long, n long")
     # at most languages * ORDER * BUCKETS rows
     total = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(sizes)
@@ -214,7 +214,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score and the mixture as text."""
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     schema = "doc_id long, held_out boolean, lang_pred string, score double, languages string"
-    return map_batches(rows, partial(_predict, model), schema)
+    return map_texts(rows, partial(_predict, model), schema)
 
 
 def fit_and_identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -232,6 +232,7 @@ def keep_identified(docs: DataFrame, model: Model, least: float = LEAST) -> Data
             keep = np.array(told["lang_pred"].to_pylist(), object) != UNDETERMINED
             yield batch.filter(pa.array(keep & (told["score"].to_numpy() >= least)))
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 

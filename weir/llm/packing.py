@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from weir.llm.common import map_batches, seeded, written
+from weir.llm.common import map_batches, map_texts, seeded, written
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
@@ -108,7 +108,7 @@ def _pieces(words: list, path: str, capacity: int, batch: pa.RecordBatch) -> dic
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """The pieces of every document: (doc_id, piece, start, length, ids_crc32)."""
     path = path or public_tokenizers.path(VOCABULARY)
-    return map_batches(docs.select("doc_id", "text"), partial(_pieces, [], path, capacity), PIECES)
+    return map_texts(docs.select("doc_id", "text"), partial(_pieces, [], path, capacity), PIECES)
 
 
 def best_fit_rounds(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:

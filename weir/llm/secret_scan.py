@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weir.llm.common import map_batches, written
+from weir.llm.common import map_texts, written
 
 # The kinds and patterns of the scan's contract.
 KINDS = ("assign", "access", "hex")
@@ -163,7 +163,7 @@ def scan_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
     ``base`` is in order of start, then kind; ``linked`` likewise.
     """
-    found = written(map_batches(docs.select("doc_id", "text"), _scan, SCAN), "secret-parts")
+    found = written(map_texts(docs.select("doc_id", "text"), _scan, SCAN), "secret-parts")
     # Rows of one text have the same parts: one of them is enough for the join.
     texts = found.filter("key is not null").groupBy("key").agg(F.min("weak").alias("weak"))
     parts = texts.select("key", F.inline("weak"))
@@ -222,7 +222,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     Spans are joined back by the text's digest, so repeated ids do no harm.
     """
     narrow = docs.select(F.lit(None).cast("long").alias("doc_id"), "text")
-    found = written(map_batches(narrow, _scan_keyed, SCAN).filter("size(base) + size(weak) > 0"), "secret-parts")
+    found = written(map_texts(narrow, _scan_keyed, SCAN).filter("size(base) + size(weak) > 0"), "secret-parts")
     texts = found.groupBy("key").agg(F.min("base").alias("base"), F.min("weak").alias("weak"))
     linked = linked_parts(texts.select("key", F.inline("weak")))
     spans = texts.select("key", F.inline("base")).union(linked).groupBy("key").agg(
