@@ -109,3 +109,24 @@ def test_numbers_before_a_card_hide_no_terms(spark):
 
     for middle in (", born in May,", ", born 1980,", ", paid 20.50 on 12 11 2023,"):
         assert {"zanzibarian", "Smithson"} <= terms(middle)
+
+
+def test_whole_words_at_the_edge_of_the_surroundings_are_terms(spark):
+    """A word that ends or begins 80 code points away, or touches the entity, counts unless letters go on."""
+    rng = random.Random(4)
+    bits = ["jo@x.org", "1.2.3.4", "+49 30 123456", "+441234567890 ", " ", "-", "word", "épée ", "Ab12 ", "éé", "x" * 30, "a b c ", "Tel"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(5, 60))) for _ in range(200)]
+    texts += ["x" * k + " first " + "- " * 36 + "jo@x.org" + " -" * 37 + " last " + "y" * k for k in (0, 1, 5)]
+    texts += ["- " * 60 + "Tel+49 30 123456 x", "- " * 60 + "abc1.2.3.4 x", "abc1.2.3.4xyz - -", "- " * 60 + "firstabc " + "- " * 36 + "jo@x.org"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    parts = rows.select("rid", F.concat(*[pii._parts(kind) for kind in pii.PATTERNS]).alias("parts"))
+    matches = pii.base_matches(parts)
+    want, cut = set(), 0
+    for m in matches.collect():
+        for w in re.finditer(r"[^\W_]{3,}", texts[m.rid]):
+            near = m.start - pii.NEAR <= w.start() and w.end() <= m.start or m.end <= w.start() and w.end() <= m.end + pii.NEAR
+            if near:
+                want.add((m.rid, f"{m.kind}:{m.hit.lower()}", w[0].lower(), w.start(), w.end()))
+                cut += pii.NEAR in (m.start - w.start(), w.end() - m.end)
+    got = {(r.rid, r.entity, r.term, r.start, r.end) for r in pii.context_terms(matches).collect()}
+    assert got == want and cut > 10
